@@ -45,7 +45,9 @@ def drop_stop_words(tokens: Column, stop_words) -> Column:
 def word_ngrams(tokens: Column, lo: int, hi: int) -> Column:
     """All n-grams of ``lo`` to ``hi`` neighbouring tokens, joined by a blank.
 
-    Pass a plain column: the array is read once per n-gram.
+    Pass a plain column: the array is read once per n-gram. Unfold the result with
+    ``explode_outer`` or through another function; before a plain ``explode`` of a column
+    Spark tests its size, and that test would copy the column's expression into the lambda.
     """
     parts = []
     for n in range(lo, hi + 1):

@@ -6,6 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Quoted fields may hold line breaks, and a quote inside is doubled.
+TEXT_OUT = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 QUOTING = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 
 
@@ -44,7 +51,7 @@ def has_column(spark: SparkSession, path: str, name: str) -> bool:
 
 
 def write_texts(df: DataFrame, path: str) -> None:
-    df.write.options(header=True, quote='"', escape='"').csv(path)
+    df.write.options(**TEXT_OUT).csv(path)
 
 
 def write_predictions(df: DataFrame, path: str, id_col: str = "id", label_col: str = "label", mode: str = "error") -> None:
