@@ -1,9 +1,8 @@
-"""All four blocks in one vector per text."""
+"""All feature blocks in one vector per text."""
 
 from __future__ import annotations
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,15 +13,16 @@ from inkgrain.operators.params import TextParams, named_vector
 class TextFeatures(Estimator, TextParams):
     """Fits the learned blocks and joins all blocks by id.
 
-    ``blocks`` are unfitted stages (or fitted ones, which are kept as they are, such as a
-    vector table loaded once). The block order is the order of the output features, after
-    the scalar block.
+    ``blocks`` are unfitted stages, or fitted ones, which are kept as they are (such as a
+    vector table read once). Their order is the order of the output features, after the
+    scalar block. ``static_col`` names an array column that replaces the scalar block,
+    for rows whose unfitted features were computed before.
     """
 
-    def __init__(self, blocks, **params):
+    def __init__(self, blocks, static_col=None, static_names=(), **params):
         super().__init__()
         self._text_defaults("features")
-        self.blocks = list(blocks)
+        self.blocks, self.static_col, self.static_names = list(blocks), static_col, list(static_names)
         self.set(**params)
 
     def _fit(self, dataset: DataFrame) -> "TextFeaturesModel":
@@ -32,29 +32,37 @@ class TextFeatures(Estimator, TextParams):
             for name in ("textCol", "idCol", "labelCol"):
                 block._set(**{name: self.value(name)})
             fitted.append(block.fit(dataset) if isinstance(block, Estimator) else block)
-        return self._copyValues(TextFeaturesModel(fitted))
+        return self._copyValues(TextFeaturesModel(fitted, self.static_col, self.static_names))
 
 
 class TextFeaturesModel(Model, TextParams):
-    def __init__(self, blocks):
+    def __init__(self, blocks, static_col=None, static_names=()):
         super().__init__()
         self._text_defaults("features")
-        self.blocks = list(blocks)
+        self.blocks, self.static_col = list(blocks), static_col
+        self.static_names = list(static_names) if static_col else list(FEATURE_NAMES)
 
     def get_feature_names_out(self):
-        return list(FEATURE_NAMES) + [n for b in self.blocks for n in b.get_feature_names_out()]
+        return self.static_names + [n for b in self.blocks for n in b.get_feature_names_out()]
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        """Rows are partitioned by id in every block, so the joins add no shuffle to them."""
-        id_col = self.value("idCol")
-        kept = dataset.columns
-        scalars = with_scalar_features(dataset, self.value("textCol"))
-        rows = scalars.select(*kept, F.array(*FEATURE_NAMES).alias("__b"))
+    def array(self, dataset: DataFrame, name: str) -> DataFrame:
+        """Append the features as one array. The blocks keep their rows partitioned by id,
+        so the joins add no shuffle to them."""
+        id_col, kept = self.value("idCol"), dataset.columns
+        if self.static_col:
+            rows = dataset.withColumn("__b", F.col(self.static_col))
+        else:
+            scalars = with_scalar_features(dataset, self.value("textCol"))
+            rows = scalars.select(*kept, F.array(*FEATURE_NAMES).alias("__b"))
         parts = [F.col("__b")]
         for i, block in enumerate(self.blocks):
             found = block.features(dataset).select(id_col, F.col("features").alias(f"__b{i}"))
             rows = rows.join(found, id_col, "left")
             width = len(block.get_feature_names_out())
             parts.append(F.coalesce(F.col(f"__b{i}"), F.array_repeat(F.lit(0.0), width)))
-        vector, metadata = named_vector(F.concat(*parts), self.get_feature_names_out())
-        return rows.select(*[F.col(c) for c in kept], vector.alias(self.value("outputCol"), metadata=metadata))
+        return rows.select(*[F.col(c) for c in kept], F.concat(*parts).alias(name))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        vector, metadata = named_vector(F.col("__f"), self.get_feature_names_out())
+        rows = self.array(dataset, "__f")
+        return rows.select(*[F.col(c) for c in dataset.columns], vector.alias(self.value("outputCol"), metadata=metadata))

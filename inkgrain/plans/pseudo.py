@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkgrain.functions.probability import argmax_label, is_confident
+from inkgrain.operators.store import write_table
 
 
 def pseudo_labels(scored: DataFrame, probability_col: str, labels, label_col: str, threshold: float = 0.90) -> DataFrame:
@@ -35,3 +36,35 @@ def run_summary(labelled: DataFrame, label_col: str, scored: DataFrame, probabil
         F.coalesce(F.try_divide(100.0 * F.col("pseudo_rows"), F.col("test_rows")), F.lit(0.0)).alias("pseudo_percent"),
         (F.col("train_rows") + F.col("pseudo_rows")).alias("extended_rows"),
     )
+
+
+def pseudo_label_round(
+    labelled: DataFrame,
+    unlabelled: DataFrame,
+    make_pipeline,
+    text_col: str,
+    label_col: str,
+    id_col: str,
+    threshold: float = 0.90,
+) -> tuple[DataFrame, DataFrame]:
+    """``(predictions, summary)`` for the unlabelled rows.
+
+    A model fitted on the given labels scores the unlabelled rows. If some are confident,
+    they join the training rows and all stages are fitted again from scratch; otherwise
+    the first model's predictions stand. Ids of the two tables may overlap, so the union
+    gets keys that tell its parts apart.
+    """
+    given = labelled.select(id_col, text_col, label_col)
+    fresh = unlabelled.select(id_col, text_col)
+    first = make_pipeline().fit(given)
+    scored = write_table(first.transform(fresh).select(id_col, text_col, "probability", "prediction"), "scored")
+    labels = first.stages[-1].labels
+    summary = write_table(run_summary(given, label_col, scored, "probability", threshold), "summary")
+    if not summary.first()["pseudo_rows"]:
+        return scored.select(id_col, F.col("prediction").alias(label_col)), summary
+    confident = pseudo_labels(scored, "probability", labels, label_col, threshold)
+    tag = lambda df, mark: df.withColumn(id_col, F.concat(F.lit(mark), F.col(id_col).cast("string")))
+    both = union_pseudo_labels(tag(given, "g"), tag(confident.select(id_col, text_col, label_col), "p"), label_col)
+    second = make_pipeline().fit(write_table(both, "extended"))
+    predictions = second.transform(fresh).select(id_col, F.col("prediction").alias(label_col))
+    return predictions, summary

@@ -1,11 +1,131 @@
-"""Hyper-parameter search."""
+"""Seeded random search for hyper-parameters over distributed cross-validation."""
 
 from __future__ import annotations
 
+import json
+import math
+import random
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkgrain.operators.splits import stratified_folds
+from inkgrain.plans.evaluate import cross_validate, static_features
+from inkgrain.plans.registry import ALIASES, MODELS
+
+# Ranges to draw from. Ranges of settings that Spark's trees lack are left out.
+SPACES = {
+    "gbt": {
+        "n_estimators": ("int", 100, 500, 50),
+        "learning_rate": ("log", 0.01, 0.10),
+        "max_depth": ("int", 3, 5, 1),
+        "min_child_samples": ("int", 20, 60, 1),
+        "min_split_gain": ("uniform", 0.05, 0.5),
+        "colsample_bytree": ("uniform", 0.4, 0.8),
+        "subsample": ("uniform", 0.5, 0.8),
+    },
+    "random_forest": {
+        "n_estimators": ("int", 200, 600, 50),
+        "max_depth": ("int", 3, 8, 1),
+        "min_samples_leaf": ("int", 5, 30, 1),
+        "max_features": ("choice", ["sqrt", "log2", 0.3]),
+    },
+    "linear_svc": {
+        "estimator__C": ("log", 1e-3, 2.0),
+        "estimator__tol": ("log", 1e-6, 1e-3),
+    },
+    "gbt_plain": {
+        "n_estimators": ("int", 100, 500, 50),
+        "learning_rate": ("log", 0.01, 0.10),
+        "max_depth": ("int", 3, 5, 1),
+        "min_child_weight": ("int", 10, 50, 1),
+        "subsample": ("uniform", 0.5, 0.8),
+        "colsample_bytree": ("uniform", 0.4, 0.8),
+        "gamma": ("uniform", 0.1, 2.0),
+    },
+    "ensemble": {},
+}
+FEATURE_SPACE = {
+    "k_per_label": ("int", 10, 30, 1),
+    "min_df": ("int", 3, 7, 1),
+    "ngram_range": ("choice", ["unigram", "bigram"]),
+    "k_per_label_char": ("int", 10, 30, 1),
+    "min_df_char": ("int", 4, 9, 1),
+}
+
+
+def draw(space: dict, rng: random.Random) -> dict:
+    out = {}
+    for name, (kind, *spec) in space.items():
+        if kind == "int":
+            lo, hi, step = spec
+            out[name] = lo + step * rng.randrange((hi - lo) // step + 1)
+        elif kind == "uniform":
+            out[name] = rng.uniform(*spec)
+        elif kind == "log":
+            out[name] = math.exp(rng.uniform(math.log(spec[0]), math.log(spec[1])))
+        elif kind == "choice":
+            out[name] = rng.choice(spec[0])
+        else:
+            raise ValueError(f"unknown kind of range {kind!r}")
+    return out
+
+
+def trial_settings(model: str, clf_params: dict, feature_params: dict) -> dict:
+    """Arguments of ``build_pipeline`` for one trial."""
+    span = {"unigram": (1, 1), "bigram": (1, 2)}[feature_params["ngram_range"]]
+    return {
+        "model": model,
+        "model_params": clf_params,
+        "word_params": {**{k: feature_params[k] for k in ("k_per_label", "min_df")}, "ngram_range": span},
+        "char_params": {k: feature_params[k] for k in ("k_per_label_char", "min_df_char")},
+    }
+
 
 def best_trial(trials: DataFrame) -> DataFrame:
     """The trial with the highest score; the first id among equals."""
     return trials.orderBy(F.desc("score"), "trial_id").limit(1)
+
+
+def search(
+    rows: DataFrame,
+    embedder,
+    text_col: str,
+    label_col: str,
+    id_col: str,
+    model: str = "gbt",
+    n_trials: int = 7,
+    k: int = 5,
+    seed: int = 42,
+    metric: str = "f1_macro",
+    timeout_sec: float | None = None,
+    parallelism: int = 1,
+    space: dict | None = None,
+    feature_space: dict | None = None,
+):
+    """``(settings, score, trials)``: the best arguments for ``build_pipeline``, their mean
+    score, and one row per trial ``(trial_id, params, score)``.
+
+    No further trial starts after ``timeout_sec``.
+    """
+    model = ALIASES.get(model, model)
+    if model not in MODELS:
+        raise ValueError(f"unknown model {model!r}: use one of {', '.join(MODELS)}")
+    if n_trials < 1:
+        raise ValueError("at least one trial is needed")
+    dealt = stratified_folds(rows.select(id_col, text_col, label_col), label_col, id_col, k, seed)
+    table, names = static_features(dealt, embedder, text_col, label_col, id_col, keep=["fold"])
+    rng, started, done = random.Random(seed), time.monotonic(), []
+    for trial in range(n_trials):
+        if done and timeout_sec is not None and time.monotonic() - started > timeout_sec:
+            break
+        clf_params = draw(SPACES[model] if space is None else space, rng)
+        feature_params = draw({**FEATURE_SPACE, **(feature_space or {})}, rng)
+        settings = trial_settings(model, clf_params, feature_params)
+        scores = cross_validate(table, names, text_col, label_col, id_col, k, settings, metric, parallelism)
+        mean = scores.agg(F.avg("score")).first()[0]
+        done.append((trial, json.dumps({**clf_params, **feature_params}, sort_keys=True), float(mean), settings))
+    trials = rows.sparkSession.createDataFrame([d[:3] for d in done], "trial_id int, params string, score double")
+    best = best_trial(trials).first()
+    return done[best["trial_id"]][3], best["score"], trials
