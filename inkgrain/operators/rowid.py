@@ -14,13 +14,16 @@ def dense_row_id(df: DataFrame, id_col: str = "id", order_by=None) -> DataFrame:
     """Append ``id_col``: the position in scan order, or in the order of ``order_by``.
 
     Rows are range-partitioned by the key and sorted inside each partition, numbered there,
-    and shifted by the number of rows in the partitions before. The numbered rows are
-    written first, because a recomputed range partitioning may cut elsewhere.
+    and shifted by the number of rows in the partitions before. Equal keys are told apart
+    by their place in the scan, so that a very common key fills several partitions. Both
+    kinds of marks are written before they are used: recomputed, they might differ.
     """
+    mark = F.monotonically_increasing_id()
     if order_by is not None:
         keys = [order_by] if isinstance(order_by, str) else list(order_by)
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    mark = F.monotonically_increasing_id()
+        keys.append("__tie")
+        df = write_table(df.withColumn("__tie", mark), "rowid")
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__tie")
     numbered = write_table(df.withColumn("__mark", mark), "rowid")
     part = F.shiftright("__mark", _OFFSET_BITS)
     sizes = numbered.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))

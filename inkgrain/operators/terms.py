@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from inkgrain.functions import tokens as tk
 from inkgrain.functions.text import clean_text, fold_spaces, split_words
 from inkgrain.operators.lookup import LookupLimits, lookup_join
+from inkgrain.sources.tables import spread
 
 
 @dataclass(frozen=True)
@@ -80,9 +81,11 @@ def by_id(texts: DataFrame, id_col: str) -> DataFrame:
 
     The number of partitions is given, so that adaptive execution does not merge them by
     their size before the texts expand (a text becomes up to 40 times as many bytes of
-    n-grams). Size ``spark.sql.shuffle.partitions`` for about 10 MB of text each.
+    n-grams). Size ``spark.sql.shuffle.partitions`` for about 10 MB of text each; eight
+    partitions per core are the least, which keeps the hash maps of the counts small.
     """
-    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = texts.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
     return texts.repartition(n, F.col(id_col))
 
 
@@ -95,8 +98,7 @@ def term_counts(texts: DataFrame, id_col: str, text_col: str, terms, keep=()) ->
 def doc_frequency(texts: DataFrame, id_col: str, text_col: str, terms, min_df: int) -> DataFrame:
     """``(term, df)`` of the terms found in at least ``min_df`` texts."""
     slim = texts.select(id_col, text_col)
-    if isinstance(terms, CharTerms):
-        slim = by_id(slim, id_col)
+    slim = by_id(slim, id_col) if isinstance(terms, CharTerms) else spread(slim)
     found = terms.distinct(slim, text_col)
     return found.groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from inkgrain.functions.scalar import FEATURE_NAMES, with_scalar_features
 from inkgrain.operators.params import TextParams, named_vector
+from inkgrain.sources.tables import spread
 
 
 class TextFeatures(Estimator, TextParams):
@@ -52,7 +53,7 @@ class TextFeaturesModel(Model, TextParams):
         if self.static_col:
             rows = dataset.withColumn("__b", F.col(self.static_col))
         else:
-            scalars = with_scalar_features(dataset, self.value("textCol"))
+            scalars = with_scalar_features(spread(dataset), self.value("textCol"))
             rows = scalars.select(*kept, F.array(*FEATURE_NAMES).alias("__b"))
         parts = [F.col("__b")]
         for i, block in enumerate(self.blocks):

@@ -9,11 +9,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than there are cores.
+SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
 
-    Text features cost far more than reading. Spark plans at least one split per core
-    from 4 MB of input per core on, so only scans smaller than that are spread.
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small input.
+
+    Text features cost far more than reading, and a small file is read by one task. The
+    size is the optimizer's estimate, so nothing runs for it; an input with more than 32 MB
+    per core is left as it is split.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores * 2) if scan.rdd.getNumPartitions() < cores else scan
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores * 2) if estimate < cores * SPREAD_BYTES_PER_CORE else df

@@ -1,9 +1,12 @@
 import os
+import sys
 import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
 
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
