@@ -31,6 +31,9 @@ from inkgrain.functions.probability import argmax_label, normalise, soft_vote
 from inkgrain.operators.blocks import class_counts
 from inkgrain.operators.splits import stratified_folds
 from inkgrain.operators.store import write_table
+from inkgrain.sources.tables import estimated_bytes
+
+MATRIX_PARTITION_BYTES = 1024 * 1024
 
 
 class ClassifierParams(Params):
@@ -60,8 +63,12 @@ class _Classifier(Estimator, ClassifierParams):
 
     def _fit(self, dataset: DataFrame):
         features, label, id_col = (self.value(n) for n in ("featuresCol", "labelCol", "idCol"))
-        # Training reads its rows many times: compute the feature matrix once.
+        # Training reads its rows many times: compute the feature matrix once. Few small
+        # tasks in a fixed order make the iterations cheap and repeatable on small data.
         matrix = write_table(dataset.select(id_col, label, features), "matrix")
+        tasks = estimated_bytes(matrix) // MATRIX_PARTITION_BYTES + 1
+        if tasks < dataset.sparkSession.sparkContext.defaultParallelism:
+            matrix = matrix.coalesce(tasks).sortWithinPartitions(id_col)
         counts = class_counts(matrix, label)
         if len(counts) < 2:
             raise ValueError(f"{label} has {len(counts)} class; at least two are needed")
@@ -225,6 +232,7 @@ class CalibratedSvc(_Classifier):
         cost = settings.pop("C", 1.0)
         seed = settings.pop("seed", 42)
         dealt = write_table(stratified_folds(rows, "y", "id", self.folds, seed), "folds")
+        dealt = dealt.coalesce(rows.rdd.getNumPartitions())
         weights = {r["fold"]: r["w"] for r in dealt.groupBy("fold").agg(F.sum("w").alias("w")).collect()}
         sizes = {(r["fold"], r["y"]): r["count"] for r in dealt.groupBy("fold", "y").count().collect()}
         members = []
@@ -250,7 +258,7 @@ class CalibratedSvc(_Classifier):
         rows = held.select(
             array_to_vector(F.array(f"__m{i}")).alias("m"), F.inline(F.array(side(1.0, target), side(0.0, 1.0 - target)))
         )
-        return LogisticRegression(featuresCol="m", labelCol="side", weightCol="share").fit(rows)
+        return LogisticRegression(featuresCol="m", labelCol="side", weightCol="share", maxIter=30).fit(rows)
 
 
 class CalibratedSvcModel(_FittedClassifier):

@@ -12,13 +12,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the size; nothing runs for it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of a small input.
 
-    Text features cost far more than reading, and a small file is read by one task. The
-    size is the optimizer's estimate, so nothing runs for it; an input with more than 32 MB
-    per core is left as it is split.
+    Text features cost far more than reading, and a small file is read by one task. An
+    input with more than 32 MB per core is left as it is split.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores * 2) if estimate < cores * SPREAD_BYTES_PER_CORE else df
+    return df.repartition(cores * 2) if estimated_bytes(df) < cores * SPREAD_BYTES_PER_CORE else df

@@ -16,7 +16,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("inkgrain-tests")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="inkgrain-"))
