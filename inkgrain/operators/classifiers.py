@@ -8,6 +8,8 @@ positions and back explicitly, so they need not be 0..k-1.
 from __future__ import annotations
 
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     GBTClassificationModel,
@@ -245,7 +247,9 @@ class CalibratedSvc(_Classifier):
             held = margins(dealt.where(F.col("fold") == fold), planes, "x")
             held = held.select("y", *[f"__m{i}" for i in range(len(labels))]).persist(StorageLevel.MEMORY_AND_DISK)
             n = sum(c for (f, _), c in sizes.items() if f == fold)
-            sigmoids = [self._sigmoid(held, i, sizes.get((fold, float(i)), 0), n) for i in range(len(labels))]
+            fit = lambda i: self._sigmoid(held, i, sizes.get((fold, float(i)), 0), n)
+            with ThreadPoolExecutor(self.parallelism) as pool:
+                sigmoids = list(pool.map(fit, range(len(labels))))
             held.unpersist()
             members += [*planes, *sigmoids]
         return CalibratedSvcModel(labels, members)
