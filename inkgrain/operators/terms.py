@@ -17,7 +17,7 @@ from inkgrain.functions.text import clean_text, fold_spaces, split_words
 from inkgrain.operators.lookup import LookupLimits, lookup_join
 from inkgrain.sources.tables import estimated_bytes, spread
 
-SMALL_PARTITION_BYTES = 256 * 1024
+SMALL_PARTITION_BYTES = 128 * 1024
 
 
 @dataclass(frozen=True)
@@ -83,13 +83,13 @@ def by_id(texts: DataFrame, id_col: str) -> DataFrame:
 
     The number of partitions is given, so that adaptive execution does not merge them by
     their size before the texts expand (a text becomes up to 40 times as many bytes of
-    n-grams). Size ``spark.sql.shuffle.partitions`` for about 10 MB of text each; more are
-    used, up to eight per core, where partitions would otherwise exceed 256 kB of input,
-    which keeps the hash maps of the counts small.
+    n-grams). Size ``spark.sql.shuffle.partitions`` for about 10 MB of text each. Small
+    inputs get partitions of about 128 kB instead, at least one per core.
     """
     spark = texts.sparkSession
-    wanted = min(estimated_bytes(texts) // SMALL_PARTITION_BYTES, 8 * spark.sparkContext.defaultParallelism)
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    cores = spark.sparkContext.defaultParallelism
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * cores)
+    n = min(max(estimated_bytes(texts) // SMALL_PARTITION_BYTES, cores), most)
     return texts.repartition(n, F.col(id_col))
 
 
