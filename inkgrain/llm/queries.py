@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F  # noqa: F401
+import os
 
 from inkgrain.llm.exact import exact_groups
+from inkgrain.llm.language import judged_languages
 from inkgrain.llm.shared import table
+from inkgrain.llm.toxicity import judged_toxicity
 from inkgrain.llm.urls import judge_urls, rule_table
 
 QUERIES = {}
+#: Folder of the public vocabularies.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 ORACLES = {}
 
 
@@ -66,3 +70,13 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 @query("op4_url_rules", URL_SQL)
 def op4_url_rules(spark, sf):
     return judge_urls(table(spark, sf, "pages"), rule_table(spark, list(RULES)))
+
+
+@query("op1_language")
+def op1_language(spark, sf):
+    return judged_languages(table(spark, sf, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark, sf):
+    return judged_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))

@@ -41,6 +41,7 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 
 def ship(spark: SparkSession) -> None:
     """Send the package to the Python workers, so that they need no copy of the repository."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")  # texts can be long
     sc = spark.sparkContext
     if getattr(sc, "_inkgrain_shipped", False):
         return
