@@ -65,7 +65,7 @@ def exact_groups(
     )
     maybe = looked.where(repeated).select("doc_id", "n", "sha", "rid")
     best = F.max(F.struct("n", (-F.col("doc_id")).alias("neg_id"), (-F.col("rid")).alias("neg_rid"), F.col("doc_id").alias("keep_id")))
-    groups = maybe.groupBy("sha").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+    groups = written(maybe.groupBy("sha").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")), "groups")
     grouped = maybe.join(groups, "sha").select(
         "doc_id", F.col("best.keep_id").alias("keep_id"), "group_size", (F.col("rid") == -F.col("best.neg_rid")).alias("kept"), "sha", "rid"
     )

@@ -6,6 +6,7 @@ import os
 
 from inkgrain.llm.exact import exact_groups
 from inkgrain.llm.language import judged_languages
+from inkgrain.llm.packing import digest, pack
 from inkgrain.llm.shared import table
 from inkgrain.llm.toxicity import judged_toxicity
 from inkgrain.llm.urls import judge_urls, rule_table
@@ -80,3 +81,8 @@ def op1_language(spark, sf):
 @query("op9_toxicity")
 def op9_toxicity(spark, sf):
     return judged_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op7_packing")
+def op7_packing(spark, sf):
+    return digest(pack(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken"))
