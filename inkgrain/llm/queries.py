@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from inkgrain.llm.bpe import encode_documents
 from inkgrain.llm.exact import exact_groups
 from inkgrain.llm.language import judged_languages
 from inkgrain.llm.packing import digest, pack
@@ -86,3 +87,9 @@ def op9_toxicity(spark, sf):
 @query("op7_packing")
 def op7_packing(spark, sf):
     return digest(pack(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken"))
+
+
+@query("op5_bpe")
+def op5_bpe(spark, sf):
+    columns = ("n_tokens", "ids_sha256", "decoded_sha256")
+    return encode_documents(table(spark, sf, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", columns=columns)
