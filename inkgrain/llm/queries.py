@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 
+from inkgrain.llm.ann import nearest
 from inkgrain.llm.bpe import encode_documents
 from inkgrain.llm.exact import exact_groups
+from inkgrain.llm.htmltext import extract_text, train_pages
 from inkgrain.llm.language import judged_languages
 from inkgrain.llm.packing import digest, pack
 from inkgrain.llm.shared import table
@@ -93,3 +95,14 @@ def op7_packing(spark, sf):
 def op5_bpe(spark, sf):
     columns = ("n_tokens", "ids_sha256", "decoded_sha256")
     return encode_documents(table(spark, sf, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", columns=columns)
+
+
+@query("op6_nearest")
+def op6_nearest(spark, sf):
+    return nearest(table(spark, sf, "embeddings"))
+
+
+@query("op8_html_text")
+def op8_html_text(spark, sf):
+    pages = table(spark, sf, "pages")
+    return extract_text(pages, train_pages(pages))
