@@ -9,6 +9,7 @@ from inkgrain.llm.bpe import encode_documents
 from inkgrain.llm.exact import exact_groups
 from inkgrain.llm.htmltext import extract_text, train_pages
 from inkgrain.llm.language import judged_languages
+from inkgrain.llm.neardup import near_groups
 from inkgrain.llm.packing import digest, pack
 from inkgrain.llm.shared import table
 from inkgrain.llm.toxicity import judged_toxicity
@@ -106,3 +107,8 @@ def op6_nearest(spark, sf):
 def op8_html_text(spark, sf):
     pages = table(spark, sf, "pages")
     return extract_text(pages, train_pages(pages))
+
+
+@query("op10_near_dedup")
+def op10_near_dedup(spark, sf):
+    return near_groups(table(spark, sf, "documents")).drop("text_hash")
