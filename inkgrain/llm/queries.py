@@ -12,6 +12,7 @@ from inkgrain.llm.language import judged_languages
 from inkgrain.llm.neardup import near_groups
 from inkgrain.llm.packing import digest, pack
 from inkgrain.llm.shared import table
+from inkgrain.llm.spans import remove_repeats
 from inkgrain.llm.toxicity import judged_toxicity
 from inkgrain.llm.urls import judge_urls, rule_table
 
@@ -112,3 +113,8 @@ def op8_html_text(spark, sf):
 @query("op10_near_dedup")
 def op10_near_dedup(spark, sf):
     return near_groups(table(spark, sf, "documents")).drop("text_hash")
+
+
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark, sf):
+    return remove_repeats(table(spark, sf, "documents"), texts=False)
