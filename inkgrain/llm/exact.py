@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkgrain.llm.shared import BLANKS, written
+from inkgrain.llm.shared import BLANKS, unused, written
 
 #: Bits of the filter per row; three of them are set by each row, all in one 64-bit word.
 BITS_PER_ROW = 16
@@ -75,7 +75,8 @@ def exact_groups(
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; exactly one row of every group."""
-    keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    judged = exact_groups(keyed, id_col, text_col, row_col="_row")
-    gone = judged.where(~F.col("kept")).select(F.col("row").alias("_row"))
-    return keyed.join(gone, "_row", "left_anti").select(*docs.columns)
+    row = unused(docs, "_row")
+    keyed = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    judged = exact_groups(keyed, id_col, text_col, row_col=row)
+    gone = judged.where(~F.col("kept")).select(F.col("row").alias(row))
+    return keyed.join(gone, row, "left_anti").select(*[keyed[c] for c in docs.columns])

@@ -42,6 +42,7 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 def ship(spark: SparkSession) -> None:
     """Send the package to the Python workers, so that they need no copy of the repository."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")  # texts can be long
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     sc = spark.sparkContext
     if getattr(sc, "_inkgrain_shipped", False):
         return
@@ -56,6 +57,14 @@ def ship(spark: SparkSession) -> None:
     sc._inkgrain_shipped = True
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
