@@ -18,6 +18,9 @@ HASH_BITS = 20
 SAMPLE_ROWS = 20_000
 #: Hashed terms that the machine weighs, by the strength of their association with the label.
 TERMS = 4096
+#: Least association of a term, in standard deviations; without it the fit would learn single documents by heart.
+LEAST_Z = 4.5
+STEPS = 4_000
 RANK = 8
 CACHE_WORDS = 200_000
 
@@ -52,7 +55,7 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(self.logit(present), -35, 35))))
 
 
-def fit_machine(terms: list[int], rows: list[list[int]], labels: np.ndarray, rank: int = RANK, epochs: int = 12, seed: int = 7) -> Machine:
+def fit_machine(terms: list[int], rows: list[list[int]], labels: np.ndarray, rank: int = RANK, steps: int = STEPS, seed: int = 7) -> Machine:
     """Logistic loss, AdaGrad on mini-batches. ``rows`` hold positions in ``terms``."""
     rng = np.random.default_rng(seed)
     n = len(terms)
@@ -63,7 +66,7 @@ def fit_machine(terms: list[int], rows: list[list[int]], labels: np.ndarray, ran
     b = float(np.log(share / (1 - share)))
     if not len(labels) or labels.min() == labels.max():
         return Machine({t: i for i, t in enumerate(terms)}, b, w, v * 0)
-    for _ in range(epochs):
+    for _ in range(max(8, -(-steps * 128 // len(flat)))):
         order = rng.permutation(len(flat))
         for at in range(0, len(order), 128):
             batch = order[at : at + 128]
@@ -124,8 +127,9 @@ def train_toxicity(
         sample.select("y", F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"), F.sum("y").alias("pos"))
-        .where("df >= 3")
+        .where("df >= 5")
         .withColumn("z", F.abs(F.col("pos") - F.col("df") * share) / spread)
+        .where(F.col("z") >= LEAST_Z)
         .orderBy(F.desc("z"), "term")
         .limit(n_terms)
     )
