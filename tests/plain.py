@@ -2,7 +2,6 @@
 
 import math
 import re
-import string
 from collections import Counter
 
 from inkgrain.functions.scalar import MARKERS
@@ -36,40 +35,124 @@ ADVERSARIAL = [
 ]
 
 
-def words(t):
-    return t.split()
+CONSONANTS = set("bcdfghjklmnpqrstvwxyz")
+ASCII_MARKS = [(33, 47), (58, 64), (91, 96), (123, 126)]
+#: Letters that fold together when case is ignored, beyond their own other case.
+FOLDED = {"\u0130": "i", "\u0131": "i", "\u017f": "s", "\u212a": "k"}
+
+
+class Counter33:
+    """Walks over a text once, character by character, and counts what the 33 columns need."""
+
+    def __init__(self, text):
+        self.text, self.tokens, self.runs = text, [], []
+        token = ""
+        for c in text:
+            if c.isspace():
+                self.end(token)
+                token = ""
+            else:
+                token += c
+            if self.runs and self.runs[-1][0] == c:
+                self.runs[-1][1] += 1
+            else:
+                self.runs.append([c, 1])
+        self.end(token)
+
+    def end(self, token):
+        if token:
+            self.tokens.append(token)
+
+    def sentences(self):
+        """Number of words of every piece between closing marks; a mark at the very end opens one more piece."""
+        first, last = 0, len(self.text)
+        while first < last and self.text[first].isspace():
+            first += 1
+        while last > first and self.text[last - 1].isspace():
+            last -= 1
+        sizes, at, in_word = [0], first, False
+        while at < last:
+            c = self.text[at]
+            if c in ".!?":
+                stop = at
+                while stop < last and self.text[stop] in ".!?":
+                    stop += 1
+                if stop == last or self.text[stop].isspace():
+                    sizes.append(0)
+                    in_word, at = False, stop
+                    continue
+                sizes[-1] += not in_word
+                in_word, at = True, stop
+                continue
+            if c.isspace():
+                in_word = False
+            else:
+                sizes[-1] += not in_word
+                in_word = True
+            at += 1
+        return sizes
+
+    def marker(self, marker):
+        """Occurrences that do not touch a word character on either side."""
+        folded = [FOLDED.get(c) or (c.lower() if len(c.lower()) == 1 else c) for c in self.text]
+        inside = lambda i: 0 <= i < len(self.text) and (self.text[i].isalnum() or self.text[i] == "_")
+        found = at = 0
+        while at + len(marker) <= len(folded):
+            if folded[at : at + len(marker)] == list(marker) and not inside(at - 1) and not inside(at + len(marker)):
+                found += 1
+                at += len(marker)
+            else:
+                at += 1
+        return found
+
+    def columns(self):
+        size, tokens, sizes = len(self.text), self.tokens, self.sentences()
+        upper = commas = shouts = asks = marks = digit_runs = 0
+        before = ""
+        for c in self.text:
+            upper += c.isupper()
+            commas += c == ","
+            shouts += c == "!"
+            asks += c == "?"
+            marks += any(lo <= ord(c) <= hi for lo, hi in ASCII_MARKS)
+            digit_runs += c.isdecimal() and not before.isdecimal()
+            before = c
+        letters = kinds = capital = mixed = 0
+        seen = set()
+        for w in tokens:
+            letters += len(w)
+            states = [("U" if c.isupper() else "l" if c.islower() or c.istitle() else "-") for c in w]
+            capital += len(w) > 1 and "U" in states and "l" not in states
+            low = w.lower()
+            ascii_kind = ["d" if "0" <= c <= "9" else "a" if "a" <= c <= "z" else "" for c in low]
+            mixed += any({x, y} == {"a", "d"} for x, y in zip(ascii_kind, ascii_kind[1:]))
+        for w in "".join(self.text.lower()).split():
+            kinds += w not in seen
+            seen.add(w)
+        filled = [n for n in sizes if n]
+        k, total, squares = len(filled), sum(filled), sum(n * n for n in filled)
+        out = {"char_len": size, "word_count": len(tokens), "sentence_count": len(sizes), "words_per_sentence": len(tokens) / len(sizes)}
+        out["type_token_ratio"] = min(1.0, kinds / len(tokens)) if tokens else 0.0
+        out["avg_word_len"] = letters / len(tokens) if tokens else 0.0
+        out["sent_len_std"] = math.sqrt(k * squares - total * total) / k if k > 1 else 0.0
+        out["punct_ratio"], out["uppercase_char_ratio"] = marks / (size or 1), upper / (size or 1)
+        out["comma_per_word"] = commas / (len(tokens) + 1)
+        out["exclamation_count"], out["question_count"] = shouts, asks
+        out["allcaps_word_count"], out["alphanum_mix_count"], out["digit_group_count"] = capital, mixed, digit_runs
+        long = [c for c, n in self.runs if n > 2]
+        out["triple_consonant_count"] = sum(c in CONSONANTS for c in long)
+        out["char_repeat_run_count"] = sum(c != "\n" for c in long)
+        out["log_char_len"] = math.log(1 + size)
+        out["ai_marker_count"] = 0
+        for m in MARKERS:
+            hits = self.marker(m)
+            out["ai_marker_count"] += hits
+            out["marker_" + "".join(m.split())] = 1 if hits else 0
+        return out
 
 
 def scalar(t):
-    n = len(t)
-    tokens = words(t)
-    pieces = re.split(r"[.!?]+\s+|[.!?]+$", t.strip())
-    lens = [len(p.split()) for p in pieces if p.strip()]
-    mean = sum(lens) / len(lens) if lens else 0.0
-    counts = [len(re.findall(rf"\b{m}\b", t, re.I)) for m in MARKERS]
-    out = {
-        "char_len": n,
-        "word_count": len(tokens),
-        "sentence_count": max(1, len(pieces)),
-        "words_per_sentence": len(tokens) / max(1, len(pieces)),
-        "type_token_ratio": len(set(t.lower().split())) / len(tokens) if tokens else 0.0,
-        "avg_word_len": sum(map(len, tokens)) / len(tokens) if tokens else 0.0,
-        "sent_len_std": math.sqrt(sum((x - mean) ** 2 for x in lens) / len(lens)) if len(lens) > 1 else 0.0,
-        "punct_ratio": sum(c in string.punctuation for c in t) / max(1, n),
-        "comma_per_word": t.count(",") / (len(tokens) + 1),
-        "exclamation_count": t.count("!"),
-        "question_count": t.count("?"),
-        "allcaps_word_count": sum(w.isupper() and len(w) > 1 for w in tokens),
-        "uppercase_char_ratio": sum(c.isupper() for c in t) / max(1, n),
-        "triple_consonant_count": len(re.findall(r"([b-df-hj-np-tv-z])\1{2,}", t)),
-        "char_repeat_run_count": len(re.findall(r"([^\n])\1{2,}", t)),
-        "alphanum_mix_count": sum(bool(re.search(r"[a-z][0-9]|[0-9][a-z]", w.lower())) for w in tokens),
-        "ai_marker_count": sum(counts),
-        "digit_group_count": len(re.findall(r"\d+", t)),
-        "log_char_len": math.log1p(n),
-    }
-    out.update({"marker_" + m.replace(" ", ""): int(c > 0) for m, c in zip(MARKERS, counts)})
-    return out
+    return Counter33(t).columns()
 
 
 def word_terms(t):

@@ -26,6 +26,27 @@ def test_names_are_complete():
     assert {n for g in GROUPS.values() for n in g} == set(FEATURE_NAMES)
 
 
+#: Counted by hand.
+BY_HAND = {
+    "Hello.": {"char_len": 6, "word_count": 1, "sentence_count": 2, "words_per_sentence": 0.5, "type_token_ratio": 1.0, "avg_word_len": 6.0, "punct_ratio": 1 / 6, "uppercase_char_ratio": 1 / 6},
+    "U.S. is. Ok...": {"word_count": 3, "sentence_count": 4, "sent_len_std": 0.0, "allcaps_word_count": 1, "char_repeat_run_count": 1, "punct_ratio": 6 / 14},
+    "A1 B-2 C.C. aBC ABC": {"allcaps_word_count": 4, "alphanum_mix_count": 1, "digit_group_count": 2, "sentence_count": 2},
+    "soonnnn bbb BBB bbbccc yyy aaa ...!!!??? --- ": {"triple_consonant_count": 5, "char_repeat_run_count": 11, "exclamation_count": 3, "question_count": 3},
+    "First one here. Second! Third has five words now? ": {"sentence_count": 4, "word_count": 9, "sent_len_std": (8 / 3) ** 0.5},
+    "Furthermore, moreover. In conclusion it is worth noting that in summary; in  summary": {"ai_marker_count": 5, "marker_insummary": 1, "marker_overall": 0, "comma_per_word": 1 / 14},
+    "one\n\n\ntwo": {"char_repeat_run_count": 0, "word_count": 2, "avg_word_len": 3.0},
+    "": {"char_len": 0, "word_count": 0, "sentence_count": 1, "avg_word_len": 0.0, "log_char_len": 0.0},
+}
+
+
+def test_values_counted_by_hand(spark):
+    keys = list(BY_HAND)
+    for r in with_scalar_features(texts(spark, keys), "text").collect():
+        for name, value in BY_HAND[keys[r["id"]]].items():
+            assert r[name] == pytest.approx(value, abs=1e-9), (name, keys[r["id"]])
+            assert plain.scalar(keys[r["id"]])[name] == pytest.approx(value, abs=1e-9), (name, keys[r["id"]])
+
+
 def test_adversarial_texts(spark):
     check(spark, plain.ADVERSARIAL + [None])
 
