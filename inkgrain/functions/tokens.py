@@ -69,3 +69,14 @@ def char_ngram_sizes(padded_length: Column, lo: int, hi: int) -> Column:
 
 def char_ngram_starts(padded_length: Column, size: Column) -> Column:
     return F.sequence(F.lit(1), F.greatest(F.lit(1), padded_length - size + 1))
+
+
+def char_grams_of(tokens: Column, lo: int, hi: int) -> Column:
+    """The character n-grams of the different tokens of an array, each token padded by a blank."""
+
+    def grams(token: Column) -> Column:
+        padded = F.concat(F.lit(" "), token, F.lit(" "))
+        size = F.length(padded)
+        return F.flatten(F.transform(char_ngram_sizes(size, lo, hi), lambda n: F.transform(char_ngram_starts(size, n), lambda i: F.substring(padded, i, n))))
+
+    return F.flatten(F.transform(F.array_distinct(tokens), grams))

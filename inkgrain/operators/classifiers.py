@@ -33,9 +33,9 @@ from inkgrain.functions.probability import argmax_label, normalise, soft_vote
 from inkgrain.operators.blocks import class_counts
 from inkgrain.operators.splits import stratified_folds
 from inkgrain.operators.store import write_table
-from inkgrain.sources.tables import estimated_bytes
 
-MATRIX_PARTITION_BYTES = 1024 * 1024
+#: Bytes of feature values per partition of a training matrix.
+MATRIX_PARTITION_BYTES = 8 * 1024 * 1024
 
 
 class ClassifierParams(Params):
@@ -54,24 +54,34 @@ class ClassifierParams(Params):
         return self.getOrDefault(self.getParam(name))
 
 
+def arranged(rows: DataFrame, id_col: str, features: str, n: int) -> DataFrame:
+    """Rows dealt by their id to a number of partitions that follows from their size, each in the order of ids."""
+    width = (rows.select(F.size(vector_to_array(features)).alias("n")).limit(1).first() or [1])[0]
+    parts = max(1, -(-n * width * 8 // MATRIX_PARTITION_BYTES))
+    return rows.repartition(parts, F.col(id_col)).sortWithinPartitions(id_col)
+
+
 class _Classifier(Estimator, ClassifierParams):
-    """``settings`` are the values for the fit; ``balanced`` weights classes by ``n / (k * n_c)``."""
+    """``settings`` are the values for the fit; ``balanced`` weights classes by ``n / (k * n_c)``.
+
+    ``max_classes`` bounds the models that one-vs-rest training makes; more classes are an error.
+    """
 
-    def __init__(self, settings=None, balanced: bool = True, parallelism: int = 4, **params):
+    def __init__(self, settings=None, balanced: bool = True, parallelism: int = 4, max_classes: int = 1000, **params):
         super().__init__()
         self._classifier_defaults()
-        self.settings, self.balanced, self.parallelism = dict(settings or {}), balanced, parallelism
+        self.settings, self.balanced, self.parallelism, self.max_classes = dict(settings or {}), balanced, parallelism, max_classes
         self._set(**params)
 
     def _fit(self, dataset: DataFrame):
         features, label, id_col = (self.value(n) for n in ("featuresCol", "labelCol", "idCol"))
-        # Training reads its rows many times: compute the feature matrix once. Few small
-        # tasks in a fixed order make the iterations cheap and repeatable on small data.
+        # Training reads its rows many times: compute the feature matrix once. Partitions and their order follow from the
+        # rows alone, at any size, so that the same rows and seed give the same model.
         matrix = write_table(dataset.select(id_col, label, features), "matrix")
-        tasks = estimated_bytes(matrix) // MATRIX_PARTITION_BYTES + 1
-        if tasks < dataset.sparkSession.sparkContext.defaultParallelism:
-            matrix = matrix.coalesce(tasks).sortWithinPartitions(id_col)
         counts = class_counts(matrix, label)
+        if len(counts) > self.max_classes:
+            raise ValueError(f"{label} has {len(counts)} classes, more than max_classes={self.max_classes}")
+        matrix = arranged(matrix, id_col, features, sum(counts.values()))
         if len(counts) < 2:
             raise ValueError(f"{label} has {len(counts)} class; at least two are needed")
         labels = sorted(counts)
@@ -234,7 +244,7 @@ class CalibratedSvc(_Classifier):
         cost = settings.pop("C", 1.0)
         seed = settings.pop("seed", 42)
         dealt = write_table(stratified_folds(rows, "y", "id", self.folds, seed), "folds")
-        dealt = dealt.coalesce(rows.rdd.getNumPartitions())
+        dealt = arranged(dealt, "id", "x", sum(counts.values()))
         weights = {r["fold"]: r["w"] for r in dealt.groupBy("fold").agg(F.sum("w").alias("w")).collect()}
         sizes = {(r["fold"], r["y"]): r["count"] for r in dealt.groupBy("fold", "y").count().collect()}
         members = []

@@ -7,47 +7,42 @@ from pyspark.sql import functions as F
 
 from inkgrain.operators.lookup import LookupLimits, lookup_join
 
-# Above this the optimizer no longer cuts groups down before a ranking shuffle.
-MAX_PUSHED_RANK = 1000
-RANK_SALTS = 256
+#: Groups per label in which terms are ranked first.
+RANK_SALTS = 64
 
 
 def chi2_scores(weights: DataFrame, label_counts: dict, label_col: str) -> DataFrame:
     """``(term, label, chi2)`` for every term with every label, found together or not.
 
-    One aggregation by term sums the weights per class (partial sums on the map side, so
-    a frequent term is never gathered), and the classes are spread out afterwards.
+    Weights are summed by term and class (partial sums on the map side, so a frequent term is never
+    gathered), then by term, and the classes are spread out from one constant array: the plan does not grow with their number.
     """
     n = sum(label_counts.values())
-    labels = sorted(label_counts)
-    seen = [
-        F.sum(F.when(F.col(label_col) == F.lit(label), F.col("weight")).otherwise(0.0)).alias(f"__o{i}")
-        for i, label in enumerate(labels)
-    ]
-    sums = weights.where(F.col("weight").isNotNull()).groupBy("term").agg(F.sum("weight").alias("__all"), *seen)
-    total = F.col("__all")
-    scored = []
-    for i, label in enumerate(labels):
-        prior = label_counts[label] / n
-        inside, outside = total * prior, total * (1 - prior)
-        observed = F.col(f"__o{i}")
-        miss_in = F.try_divide((observed - inside) * (observed - inside), inside)
+    kind = weights.schema[label_col].dataType
+    classes = F.array(*[F.struct(F.lit(x).cast(kind).alias("label"), F.lit(label_counts[x] / n).alias("prior")) for x in sorted(label_counts)])
+    sums = weights.where(F.col("weight").isNotNull()).groupBy("term", F.col(label_col).alias("label")).agg(F.sum("weight").alias("o"))
+    # one entry per class that the term was seen in; classes, not rows, bound it
+    terms = sums.groupBy("term").agg(F.sum("o").alias("total"), F.map_from_entries(F.collect_list(F.struct("label", "o"))).alias("seen"))
+
+    def score(c):
+        total = F.col("total")
+        inside, outside = total * c["prior"], total * (1 - c["prior"])
+        observed = F.coalesce(F.element_at("seen", c["label"]), F.lit(0.0))
         rest = total - observed - outside
-        chi2 = miss_in + F.try_divide(rest * rest, outside)
-        scored.append(F.struct(F.lit(label).alias("label"), F.coalesce(F.nanvl(chi2, F.lit(0.0)), F.lit(0.0)).alias("chi2")))
-    return sums.select("term", F.inline(F.array(*scored)))
+        chi2 = F.try_divide((observed - inside) * (observed - inside), inside) + F.try_divide(rest * rest, outside)
+        return F.struct(c["label"].alias("label"), F.coalesce(F.nanvl(chi2, F.lit(0.0)), F.lit(0.0)).alias("chi2"))
+
+    return terms.select("term", F.inline(F.transform(classes, score)))
 
 
 def top_terms(scores: DataFrame, k: int) -> DataFrame:
     """The ``k`` best ``(label, term, chi2, rank)`` per label; equal scores go by term.
 
-    Each task ranks its own rows and passes on ``k`` per label. Up to ``MAX_PUSHED_RANK``
-    Spark does that itself; for a larger ``k`` the terms are first ranked in salted groups.
+    Terms are ranked in salted groups first, which pass on ``k`` per label each.
     """
     order = (F.round("chi2", 9).desc(), F.col("term"))
-    if k > MAX_PUSHED_RANK:
-        salted = Window.partitionBy("label", F.pmod(F.hash("term"), F.lit(RANK_SALTS))).orderBy(*order)
-        scores = scores.withColumn("__r", F.row_number().over(salted)).where(F.col("__r") <= k).drop("__r")
+    salted = Window.partitionBy("label", F.pmod(F.hash("term"), F.lit(RANK_SALTS))).orderBy(*order)
+    scores = scores.withColumn("__r", F.row_number().over(salted)).where(F.col("__r") <= k).drop("__r")
     ranked = scores.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy(*order)))
     return ranked.where(F.col("rank") <= k)
 
@@ -88,9 +83,9 @@ def feature_arrays(
     selected are summed up, not dropped. Counts that are partitioned by id stay in place.
     """
     index = F.broadcast(selected.select("term", "idx"))
-    known = vocabulary.select("term", "idf").join(index, "term", "left")
+    known = vocabulary.join(index, "term", "left")
     weight = (1 + F.log("tf")) * F.col("idf")
-    rows = lookup_join(counts, known, "term", limits, size).select(id_col, "idx", weight.alias("__w"))
+    rows = lookup_join(counts, known, "term", limits, size, "df" if "df" in known.columns else None).select(id_col, "idx", weight.alias("__w"))
     slots = rows.groupBy(id_col, "idx").agg(F.sum("__w").alias("__w"), F.sum(F.col("__w") * F.col("__w")).alias("__sq"))
     entry = F.when(F.col("idx").isNotNull(), F.struct("idx", "__w"))
     found = slots.groupBy(id_col).agg(F.collect_list(entry).alias("__found"), F.sqrt(F.sum("__sq")).alias("__norm"))

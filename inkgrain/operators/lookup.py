@@ -14,11 +14,12 @@ class LookupLimits:
     """How large a broadcast side may be.
 
     ``broadcast_bytes``: a table below this size is broadcast whole.
-    ``hot_keys``: beyond it, only the entries of this many most frequent keys are.
+    ``hot_keys``: beyond it, rows of this many most frequent keys are dealt to ``salts`` tasks each.
     """
 
     broadcast_bytes: int = 256 * 1024 * 1024
     hot_keys: int = 4096
+    salts: int = 64
 
 
 def table_bytes(table: DataFrame, key: str) -> int:
@@ -39,30 +40,25 @@ def table_bytes(table: DataFrame, key: str) -> int:
 
 
 def lookup_join(
-    rows: DataFrame, table: DataFrame, key: str, limits: LookupLimits = LookupLimits(), size: int | None = None
+    rows: DataFrame, table: DataFrame, key: str, limits: LookupLimits = LookupLimits(), size: int | None = None, frequency: str | None = None
 ) -> DataFrame:
     """``rows`` left-joined with ``table``, whose ``key`` is unique.
 
-    A small table is broadcast, so ``rows`` keep their partitioning. For a large one the
-    most frequent keys of ``rows`` (found with map-side counts) are looked up in a
-    broadcast of at most ``hot_keys`` entries, and the others are shuffled: none of them
-    can hold more than ``1 / hot_keys`` of the rows. Rows without a key join nothing and
-    are not shuffled at all. Every row comes out exactly once in any case.
+    A small table is broadcast, so ``rows`` keep their partitioning. A large one is joined by one shuffle in which ``rows`` are
+    expanded once: its most frequent keys, which the table itself knows by its column ``frequency``, are repeated under every salt, and
+    their rows are dealt over the salts. Rows without a key are dealt out as well and find nothing. Without ``frequency``, skew is
+    left to adaptive execution. Every row comes out exactly once in any case.
     """
     size = table_bytes(table, key) if size is None else size
     if size <= limits.broadcast_bytes:
         return rows.join(F.broadcast(table), key, "left")
-    payload = [c for c in table.columns if c != key]
-    frequent = (
-        rows.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("__n"))
-        .orderBy(F.desc("__n"), key)
-        .limit(limits.hot_keys)
-        .select(key, F.lit(True).alias("__hot"))
+    if frequency is None:
+        return rows.join(table.hint("merge"), key, "left")
+    top = table.orderBy(F.desc(frequency), key).limit(limits.hot_keys)
+    hot = F.broadcast(top.select(key, F.lit(limits.salts).alias("__salts")))
+    dealt = F.pmod(F.xxhash64(*[c for c in rows.columns if c != key]), F.lit(limits.salts)).cast("int")
+    marked = rows.join(hot, key, "left").withColumn(
+        "__salt", F.when(F.col("__salts").isNotNull() | F.col(key).isNull(), dealt).otherwise(F.lit(0))
     )
-    hot = F.broadcast(frequent.join(table, key, "left"))
-    marked = rows.join(hot, key, "left")
-    done = marked.where(F.col("__hot").isNotNull() | F.col(key).isNull()).drop("__hot")
-    rest = marked.where(F.col("__hot").isNull() & F.col(key).isNotNull()).drop("__hot", *payload)
-    return done.unionByName(rest.join(table, key, "left"))
+    salted = table.join(hot, key, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
+    return marked.drop("__salts").join(salted.drop("__salts").hint("merge"), [key, "__salt"], "left").drop("__salt")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkgrain.operators.splits import with_class
+
 
 def label_distribution(df: DataFrame, label_col: str, name: str = "n") -> DataFrame:
     return df.groupBy(label_col).agg(F.count("*").alias(name)).orderBy(label_col)
@@ -82,9 +84,9 @@ def classification_report(df: DataFrame, label_col: str, prediction_col: str) ->
 
 
 def class_weights(df: DataFrame, label_col: str, name: str = "weight") -> DataFrame:
-    """Append ``n / (k * n_c)``. The weights are one row per class and joined by broadcast,
-    so the rows are not shuffled by their label."""
+    """Append ``n / (k * n_c)``; a null label is a class like any other. The weights are one row per class;
+    the optimizer broadcasts them where their size allows, and splits a large class where it does not."""
     counts = df.groupBy(label_col).agg(F.count("*").alias("__n"))
     everything = Window.partitionBy()
     weight = F.sum("__n").over(everything) / (F.count("*").over(everything) * F.col("__n"))
-    return df.join(F.broadcast(counts.select(label_col, weight.alias(name))), label_col)
+    return with_class(df, counts.select(label_col, weight.alias(name)), label_col)

@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from inkgrain.functions import tokens as tk
 from inkgrain.functions.text import clean_text, fold_spaces, split_words
 from inkgrain.operators.lookup import LookupLimits, lookup_join
-from inkgrain.sources.tables import estimated_bytes, spread
+from inkgrain.sources.tables import scanned_bytes, spread
 
-SMALL_PARTITION_BYTES = 128 * 1024
+#: Stored bytes of text per partition; as n-grams a text takes up to 40 times its size.
+TEXT_PARTITION_BYTES = 16 * 1024 * 1024
+#: Least number of partitions per core, for small inputs.
+PARTITIONS_PER_CORE = 4
 
 
 @dataclass(frozen=True)
@@ -65,8 +68,12 @@ class CharTerms:
         return placed.select(*kept, F.substring("__p", F.col("__i"), F.col("__n")).alias("term"))
 
     def distinct(self, texts: DataFrame, text_col: str) -> DataFrame:
+        """Each row by itself: no shuffle of the texts."""
         kept = [c for c in texts.columns if c != text_col]
-        return self.counted(texts, text_col).where(F.col("term").isNotNull()).select(*kept, "term")
+        folded = texts.select(*kept, F.lower(fold_spaces(clean_text(F.col(text_col)))).alias("__folded"))
+        tokens = folded.select(*kept, split_words(F.col("__folded")).alias("__tokens"))
+        grams = tokens.select(*kept, tk.char_grams_of(F.col("__tokens"), self.lo, self.hi).alias("__terms"))
+        return grams.select(*kept, F.explode(F.array_distinct("__terms")).alias("term"))
 
     def counted(self, texts: DataFrame, text_col: str) -> DataFrame:
         # Equal tokens of a text are counted first and expanded once.
@@ -78,18 +85,14 @@ class CharTerms:
         return grams.groupBy(*kept, "term").agg(F.sum("__tf").alias("tf"))
 
 
-def by_id(texts: DataFrame, id_col: str) -> DataFrame:
+def by_id(texts: DataFrame, id_col: str, partition_bytes: int = TEXT_PARTITION_BYTES) -> DataFrame:
     """The one shuffle of the raw texts that all per-document work builds on.
 
-    The number of partitions is given, so that adaptive execution does not merge them by
-    their size before the texts expand (a text becomes up to 40 times as many bytes of
-    n-grams). Size ``spark.sql.shuffle.partitions`` for about 10 MB of text each. Small
-    inputs get partitions of about 128 kB instead, at least one per core.
+    The number of partitions grows with the input without bound, ``partition_bytes`` of it each. It is given,
+    so that adaptive execution does not merge partitions by their size before the texts expand.
     """
-    spark = texts.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * cores)
-    n = min(max(estimated_bytes(texts) // SMALL_PARTITION_BYTES, cores), most)
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    n = max(-(-scanned_bytes(texts) // partition_bytes), PARTITIONS_PER_CORE * cores)
     return texts.repartition(n, F.col(id_col))
 
 
@@ -102,8 +105,7 @@ def term_counts(texts: DataFrame, id_col: str, text_col: str, terms, keep=()) ->
 def doc_frequency(texts: DataFrame, id_col: str, text_col: str, terms, min_df: int) -> DataFrame:
     """``(term, df)`` of the terms found in at least ``min_df`` texts."""
     slim = texts.select(id_col, text_col)
-    slim = by_id(slim, id_col) if isinstance(terms, CharTerms) else spread(slim)
-    found = terms.distinct(slim, text_col)
+    found = terms.distinct(spread(slim), text_col)
     return found.groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
 
 
@@ -120,7 +122,7 @@ def tfidf_weights(
     The norm covers every vocabulary term of the text; terms outside the vocabulary have
     a null weight. Any selection of terms has to come after this.
     """
-    rows = lookup_join(counts, vocabulary, "term", limits, size)
+    rows = lookup_join(counts, vocabulary, "term", limits, size, frequency="df")
     raw = (1 + F.log("tf")) * F.col("idf")
     norm = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(id_col)))
     return rows.withColumn("__w", raw).withColumn("weight", F.col("__w") / norm).drop("__w", "idf", "df")

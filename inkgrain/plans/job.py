@@ -1,4 +1,4 @@
-"""End-to-end job: read both CSV tables, tune, evaluate, pseudo-label, write predictions.
+"""End-to-end job: read both tables (CSV, or Parquet by the ending of the path), tune, evaluate, pseudo-label, write predictions.
 
     spark-submit --conf spark.checkpoint.dir=<shared folder> -m inkgrain.plans.job \\
         --train train.csv --test test.csv --vectors vectors.parquet --out predictions
@@ -11,10 +11,11 @@ import sys
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from inkgrain.operators import metrics as mt
 from inkgrain.operators.blocks import MeanVectorEmbedder
-from inkgrain.operators.rowid import dense_row_id
+from inkgrain.operators.rowid import dense_row_id, require_unique
 from inkgrain.operators.store import write_table
 from inkgrain.operators.splits import stratified_split
 from inkgrain.plans.evaluate import score_by
@@ -34,6 +35,7 @@ class Config:
     text_col: str = "TEXT"
     label_col: str = "LABEL"
     id_col: str = "id"
+    multi_line: bool = True
     model: str = "gbt"
     model_params: dict = field(default_factory=dict)
     cv_folds: int = 5
@@ -49,16 +51,26 @@ class Config:
     feature_space: dict | None = None
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
 def run(spark: SparkSession, cfg: Config) -> dict:
-    """Returns the tables of the run; the predictions are written to ``out_path``."""
+    """Checks the input and the output path before any training. Returns the tables of the run; the predictions are written to ``out_path``."""
     text, label, key = cfg.text_col, cfg.label_col, cfg.id_col
-    train = dense_row_id(csv.read_labelled(spark, cfg.train_path, text, label), key)
+    if exists(spark, cfg.out_path):
+        raise ValueError(f"{cfg.out_path} is there already")
+    given = csv.read_labelled(spark, cfg.train_path, text, label, multi_line=cfg.multi_line)
+    unlabelled = given.where(F.col(label).isNull()).count()
+    if unlabelled:
+        raise ValueError(f"{unlabelled} rows of {cfg.train_path} have no {label}")
+    train = write_table(dense_row_id(given, key), "train")
     if csv.has_column(spark, cfg.test_path, key):
-        test = write_table(csv.read_unlabelled(spark, cfg.test_path, text, key), "test")
+        test = write_table(csv.read_unlabelled(spark, cfg.test_path, text, key, multi_line=cfg.multi_line), "test")
+        require_unique(test, key)
     else:
-        test = dense_row_id(csv.read_unlabelled(spark, cfg.test_path, text), key)
-    train = write_table(train, "train")
-    test = write_table(test, "test_rows")
+        test = write_table(dense_row_id(csv.read_unlabelled(spark, cfg.test_path, text, multi_line=cfg.multi_line), key), "test")
 
     embedder = None
     if cfg.vectors_path:
@@ -96,7 +108,7 @@ def run(spark: SparkSession, cfg: Config) -> dict:
 
     predictions, summary = pseudo_label_round(train, test, fresh_pipeline, text, label, key, cfg.threshold)
     csv.write_predictions(predictions, cfg.out_path, key, label)
-    written = csv.read_predictions(spark, cfg.out_path)
+    written = csv.read_predictions(spark, cfg.out_path, dict(test.dtypes)[key], dict(train.dtypes)[label])
     return {
         "labels": mt.label_distribution(train, label),
         "settings": settings,

@@ -13,41 +13,58 @@ TEXT_OUT = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
-QUOTING = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+# A cell that does not fit its type stops the read.
+QUOTING = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST"}
 
 
-def text_schema(text_col: str = "TEXT", label_col: str | None = None, id_col: str | None = None) -> T.StructType:
+def text_schema(text_col: str = "TEXT", label_col: str | None = None, id_col: str | None = None, id_type: T.DataType = T.StringType()) -> T.StructType:
     fields = []
     if id_col:
-        fields.append(T.StructField(id_col, T.LongType()))
+        fields.append(T.StructField(id_col, id_type))
     fields.append(T.StructField(text_col, T.StringType()))
     if label_col:
         fields.append(T.StructField(label_col, T.IntegerType()))
     return T.StructType(fields)
 
 
-def read_labelled(spark: SparkSession, path: str, text_col: str = "TEXT", label_col: str = "LABEL", id_col=None) -> DataFrame:
-    return _read(spark, path, text_schema(text_col, label_col, id_col))
+def read_labelled(spark: SparkSession, path: str, text_col: str = "TEXT", label_col: str = "LABEL", id_col=None, id_type=T.StringType(), multi_line: bool = True) -> DataFrame:
+    return _read(spark, path, text_schema(text_col, label_col, id_col, id_type), multi_line)
 
 
-def read_unlabelled(spark: SparkSession, path: str, text_col: str = "TEXT", id_col=None) -> DataFrame:
-    return _read(spark, path, text_schema(text_col, id_col=id_col))
+def read_unlabelled(spark: SparkSession, path: str, text_col: str = "TEXT", id_col=None, id_type=T.StringType(), multi_line: bool = True) -> DataFrame:
+    return _read(spark, path, text_schema(text_col, id_col=id_col, id_type=id_type), multi_line)
 
 
-def _read(spark: SparkSession, path: str, wanted: T.StructType) -> DataFrame:
-    """Read the wanted columns by name; the file may have others, in any order."""
-    header = spark.read.options(**QUOTING).csv(path).columns
+def _columns(spark: SparkSession, path: str) -> list[str]:
+    if is_parquet(path):
+        return spark.read.parquet(path).columns
+    return spark.read.options(**QUOTING, multiLine=True).csv(path).columns
+
+
+def is_parquet(path: str) -> bool:
+    return path.rstrip("/").endswith(".parquet")
+
+
+def _read(spark: SparkSession, path: str, wanted: T.StructType, multi_line: bool) -> DataFrame:
+    """Read the wanted columns by name; the file may have others, in any order.
+
+    With ``multi_line`` texts may hold line breaks, but a file is read by one task. Without it files are split. Parquet (a path that
+    ends in .parquet) has neither limit, and keeps the types of its columns.
+    """
+    header = _columns(spark, path)
     missing = [f.name for f in wanted if f.name not in header]
     if missing:
         raise ValueError(f"columns {missing} are not in {path}")
+    if is_parquet(path):
+        return spark.read.parquet(path).select(*[f.name for f in wanted])
     types = {f.name: f.dataType for f in wanted}
     schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
-    rows = spark.read.options(**QUOTING, enforceSchema=False).schema(schema).csv(path)
+    rows = spark.read.options(**QUOTING, multiLine=multi_line, enforceSchema=False).schema(schema).csv(path)
     return rows.select(*[f.name for f in wanted])
 
 
 def has_column(spark: SparkSession, path: str, name: str) -> bool:
-    return name in spark.read.options(**QUOTING).csv(path).columns
+    return name in _columns(spark, path)
 
 
 def write_texts(df: DataFrame, path: str) -> None:
@@ -60,5 +77,5 @@ def write_predictions(df: DataFrame, path: str, id_col: str = "id", label_col: s
     out.write.mode(mode).option("header", True).csv(path)
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).schema("id long, label int").csv(path)
+def read_predictions(spark: SparkSession, path: str, id_type: str = "long", label_type: str = "int") -> DataFrame:
+    return spark.read.options(header=True, mode="FAILFAST").schema(f"id {id_type}, label {label_type}").csv(path)

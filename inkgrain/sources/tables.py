@@ -12,9 +12,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of the size; nothing runs for it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+UNKNOWN_BYTES = 1 << 62
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that ``df`` reads, as stored; nothing runs for it. Rows that come from no table have no known
+    size (the optimizer gives them its largest number) and do not count."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < UNKNOWN_BYTES)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -24,4 +30,4 @@ def spread(df: DataFrame) -> DataFrame:
     input with more than 32 MB per core is left as it is split.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores * 2) if estimated_bytes(df) < cores * SPREAD_BYTES_PER_CORE else df
+    return df.repartition(cores * 2) if scanned_bytes(df) < cores * SPREAD_BYTES_PER_CORE else df

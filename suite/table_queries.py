@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from inkgrain.functions import probability as pr
 from inkgrain.functions.names import CLASS_NAMES, with_class_name
@@ -29,7 +30,7 @@ def csv_scan(spark, sf):
     )
     path = new_path(spark, "texts")
     csv.write_texts(rows, path)
-    back = csv.read_labelled(spark, path, id_col="id")
+    back = csv.read_labelled(spark, path, id_col="id", id_type=LongType())
     return back.select("id", F.coalesce("TEXT", F.lit("")).alias("text"), F.col("LABEL").alias("label"))
 
 
@@ -55,6 +56,30 @@ def prediction_sink(spark, sf):
     return csv.read_predictions(spark, path)
 
 
+@query("csv_scan_text_ids", """
+SELECT 'x' || doc_id AS id, 'text ' || doc_id || chr(10) || 'second line' AS text FROM documents""")
+def csv_scan_text_ids(spark, sf):
+    rows = fx.documents(spark, sf, "doc_id").select(
+        F.concat(F.lit("x"), "doc_id").alias("id"), F.concat(F.lit("text "), "doc_id", F.lit("\nsecond line")).alias("TEXT")
+    )
+    path = new_path(spark, "texts")
+    csv.write_texts(rows, path)
+    return csv.read_unlabelled(spark, path, id_col="id").withColumnRenamed("TEXT", "text")
+
+
+@query("row_id_scan_order", """
+SELECT row_number() OVER (ORDER BY doc_id % 4, doc_id) - 1 AS id, 'd' || doc_id AS text FROM documents""")
+def row_id_scan_order(spark, sf):
+    """Four files of different sizes; ids follow the files and the lines in them."""
+    docs = fx.documents(spark, sf, "doc_id")
+    folder = new_path(spark, "files")
+    for part in range(4):
+        lines = docs.where(F.col("doc_id") % 4 == part).coalesce(1).sortWithinPartitions("doc_id")
+        csv.write_texts(lines.select(F.concat(F.lit("d"), "doc_id").alias("TEXT")), f"{folder}/part{part}")
+    rows = csv.read_unlabelled(spark, f"{folder}/*")
+    return dense_row_id(rows, "id").select("id", F.col("TEXT").alias("text"))
+
+
 @query("dense_row_id", """
 SELECT row_number() OVER (ORDER BY n_chars, doc_id) - 1 AS id, doc_id, n_chars FROM documents""")
 def row_id(spark, sf):
@@ -208,6 +233,28 @@ def split(spark, sf):
     return rows.select("doc_id", "lang", "is_test")
 
 
+NULL_LABEL = "CASE WHEN doc_id % 10 = 0 THEN NULL ELSE doc_id % 3 END"
+
+
+@query("class_weights_null_labels", f"""
+SELECT doc_id, label, round(count(*) OVER () / ((SELECT count(DISTINCT coalesce(label, -1)) FROM t) * count(*) OVER (PARTITION BY label)), 6) AS weight
+FROM (SELECT doc_id, {NULL_LABEL} AS label FROM documents) t""".replace("FROM t)", f"FROM (SELECT {NULL_LABEL} AS label FROM documents))"))
+def class_weights_null_labels(spark, sf):
+    rows = fx.documents(spark, sf, "doc_id").withColumn("label", F.expr(NULL_LABEL))
+    return mt.class_weights(rows, "label").withColumn("weight", F.round("weight", 6))
+
+
+@query("stratified_folds_null_labels", f"""
+WITH t AS (SELECT doc_id, {NULL_LABEL} AS label FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42-' || doc_id), doc_id) AS rn FROM t),
+s AS (SELECT label, coalesce(sum(n) OVER (ORDER BY label NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first
+      FROM (SELECT label, count(*) AS n FROM t GROUP BY label))
+SELECT doc_id, r.label, CAST((first + rn - 1) % 5 AS INTEGER) AS fold FROM r JOIN s ON r.label IS NOT DISTINCT FROM s.label""")
+def stratified_folds_null_labels(spark, sf):
+    rows = fx.documents(spark, sf, "doc_id").withColumn("label", F.expr(NULL_LABEL))
+    return stratified_folds(rows, "label", "doc_id")
+
+
 @query("class_weights", f"""
 WITH {fx.LABELLED}
 SELECT doc_id, label, round(n / (k * n_c), 6) AS weight FROM (SELECT doc_id, label, count(*) OVER () AS n,

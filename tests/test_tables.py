@@ -4,16 +4,17 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from inkgrain.functions import probability as pr
 from inkgrain.functions.names import with_class_name
 from inkgrain.operators import metrics as mt
-from inkgrain.operators.rowid import dense_row_id
+from inkgrain.operators.rowid import dense_row_id, require_unique
 from inkgrain.operators.splits import stratified_folds, stratified_split
 from inkgrain.operators.store import new_path
 from inkgrain.plans.pseudo import pseudo_labels, run_summary, union_pseudo_labels
 from inkgrain.sources import csv
-from inkgrain.sources.vectors import read_vectors
+from inkgrain.sources.vectors import parse_vector_lines, read_vectors
 
 
 @pytest.fixture(scope="module")
@@ -50,6 +51,22 @@ def test_folds_partition_the_rows(skewed):
     assert sorted(rows) != sorted(other)
 
 
+def test_null_labels_are_kept(spark):
+    rows = spark.createDataFrame([(i, None if i % 10 == 0 else i % 3) for i in range(100)], "id long, label int")
+    assert stratified_folds(rows, "label", "id", 5).count() == stratified_split(rows, "label", "id").count() == 100
+    weights = mt.class_weights(rows, "label").collect()
+    assert len(weights) == 100 and {r.weight for r in weights if r.label is None} == {100 / (4 * 10)}
+
+
+def test_large_classes_get_more_groups(spark, monkeypatch):
+    from inkgrain.operators import splits
+
+    rows = spark.range(3000).select("id", F.lit(1).alias("label"))
+    want = sorted(stratified_folds(rows, "label", "id", 3).collect())
+    monkeypatch.setattr(splits, "GROUP_ROWS", 2)
+    assert sorted(stratified_folds(rows, "label", "id", 3).collect()) == want
+
+
 def test_no_class_is_ranked_in_one_task(skewed):
     plan = stratified_folds(skewed, "label", "id")._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(label#" in plan and "__group" in plan
@@ -109,7 +126,7 @@ def test_csv_round_trip(spark):
     rows = spark.createDataFrame([(i, t, i % 3) for i, t in enumerate(texts)], "id long, TEXT string, LABEL int")
     path = new_path(spark, "csv")
     csv.write_texts(rows, path)
-    back = csv.read_labelled(spark, path, id_col="id").select("id", F.coalesce("TEXT", F.lit("")).alias("t"), "LABEL")
+    back = csv.read_labelled(spark, path, id_col="id", id_type=LongType()).select("id", F.coalesce("TEXT", F.lit("")).alias("t"), "LABEL")
     assert sorted(map(tuple, back.collect())) == [(i, t or "", i % 3) for i, t in enumerate(texts)]
     assert csv.has_column(spark, path, "id") and not csv.has_column(spark, path, "nope")
     assert csv.read_unlabelled(spark, path).columns == ["TEXT"]
@@ -117,6 +134,42 @@ def test_csv_round_trip(spark):
         csv.read_labelled(spark, path, label_col="nope")
 
 
+def test_ids_keep_their_type_and_bad_cells_stop(spark):
+    path = new_path(spark, "csv")
+    csv.write_texts(spark.createDataFrame([("x7", "a", "1"), ("0012", "b", "zz")], "id string, TEXT string, LABEL string"), path)
+    assert {r.id for r in csv.read_unlabelled(spark, path, id_col="id").collect()} == {"x7", "0012"}
+    with pytest.raises(Exception, match="Malformed|FAILED_READ_FILE"):
+        csv.read_labelled(spark, path).collect()
+    out = new_path(spark, "predictions")
+    csv.write_predictions(spark.createDataFrame([("x7", 1)], "id string, label int"), out)
+    assert csv.read_predictions(spark, out, "string").first().id == "x7"
+
+
+def test_parquet_input(spark):
+    path = new_path(spark, "table") + ".parquet"
+    spark.createDataFrame([("k", "two\nlines", 1)], "id string, TEXT string, LABEL int").write.parquet(path)
+    assert csv.has_column(spark, path, "id")
+    assert csv.read_labelled(spark, path, id_col="id").first() == ("k", "two\nlines", 1)
+
+
+def test_ids_follow_the_files(spark):
+    folder = new_path(spark, "files")
+    for name, n in (("a", 1), ("b", 50), ("c", 7)):
+        spark.range(n).select(F.concat(F.lit(name), F.col("id")).alias("TEXT")).coalesce(1).write.option("header", True).csv(f"{folder}/{name}")
+    rows = csv.read_unlabelled(spark, f"{folder}/*")
+    got = [r.TEXT for r in dense_row_id(rows, "id").orderBy("id").collect()]
+    assert got == ["a0"] + [f"b{i}" for i in range(50)] + [f"c{i}" for i in range(7)]
+
+
+def test_ids_must_be_unique(spark):
+    rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long")
+    require_unique(rows(1, 2), "id")
+    with pytest.raises(ValueError, match="nulls"):
+        require_unique(rows(1, None), "id")
+    with pytest.raises(ValueError, match="1 repeated"):
+        require_unique(rows(1, 1, 2), "id")
+
+
 def test_predictions(spark):
     path = new_path(spark, "predictions")
     csv.write_predictions(spark.createDataFrame([(2, 1), (1, 0)], "k long, y int"), path, "k", "y")
@@ -132,6 +185,12 @@ def test_vector_text(spark):
     assert rows.keys() == {"cat", "dog"} and rows["cat"] == pytest.approx([1, 2.5, -0.3])
     with pytest.raises(ValueError):
         read_vectors(spark, path, "bin")
+    narrow = spark.createDataFrame([("2 1",), ("cat 5",), ("dog 7",)], "value string")
+    assert sorted(map(tuple, parse_vector_lines(narrow).collect())) == [("cat", [5.0]), ("dog", [7.0])]
+    assert parse_vector_lines(narrow.where("value <> '2 1'")).count() == 2
+    uneven = spark.createDataFrame([("cat 5 6",), ("dog 7",)], "value string")
+    with pytest.raises(Exception, match="another width"):
+        parse_vector_lines(uneven).collect()
 
 
 def test_class_names(spark):

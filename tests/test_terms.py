@@ -4,11 +4,12 @@ from pyspark.sql import functions as F
 import plain
 from inkgrain.functions.tokens import ENGLISH_STOP_WORDS
 from inkgrain.operators import impchi
-from inkgrain.operators.blocks import CharTfidfSelector, MeanVectorEmbedder, TfidfSelectorModel, WordTfidfSelector
+from inkgrain.operators.blocks import class_counts, CharTfidfSelector, MeanVectorEmbedder, TfidfSelectorModel, WordTfidfSelector
 from inkgrain.operators.embedding import pooled_vectors
 from inkgrain.operators.lookup import LookupLimits, lookup_join
 from inkgrain.operators.store import new_path, write_table
-from inkgrain.operators.terms import CharTerms, WordTerms, doc_frequency, smooth_idf, term_counts, tfidf_weights
+from inkgrain.operators.terms import CharTerms, WordTerms, by_id, doc_frequency, smooth_idf, term_counts, tfidf_weights
+from inkgrain.sources.tables import scanned_bytes
 
 COLUMNS = {"idCol": "doc_id", "textCol": "text", "labelCol": "label"}
 SHUFFLED = LookupLimits(broadcast_bytes=0, hot_keys=5)
@@ -73,13 +74,41 @@ def test_scores_and_selection(docs, local):
     assert all(r.labels == sorted(x for x in counts if r.term in best[x]) for r in picked)
 
 
-def test_salted_ranking_gives_the_same(docs, monkeypatch):
+def test_many_ranks(docs):
+    """More ranks than the optimizer pushes down."""
     weights, _ = spark_weights(docs, WordTerms(1, 1), 3)
     scores = write_table(impchi.chi2_scores(weights, {0: 68, 1: 68, 2: 67}, "label"), "scores")
-    plainly = set(impchi.top_terms(scores, 20).collect())
-    monkeypatch.setattr(impchi, "MAX_PUSHED_RANK", 0)
-    assert set(impchi.top_terms(scores, 20).collect()) == plainly
-    assert len(plainly) == 60
+    rows = scores.collect()
+    want = {(x, t, i + 1) for x in range(3) for i, (_, t) in enumerate(sorted((-round(r.chi2, 9), r.term) for r in rows if r.label == x)[:1500])}
+    assert {(r.label, r.term, r["rank"]) for r in impchi.top_terms(scores, 1500).collect()} == want
+
+
+def test_many_classes(spark):
+    """The plan does not grow with the classes, and no number of them is refused."""
+    rows = spark.range(12_000).select(F.col("id").alias("doc_id"), F.col("id").cast("int").alias("label"), F.concat(F.lit("t"), F.col("id") % 3).alias("term"), F.lit(1.0).alias("weight"))
+    counts = class_counts(rows, "label")
+    assert len(counts) == 12_000
+    few = rows.where("label < 300")
+    scores = impchi.chi2_scores(few, class_counts(few, "label"), "label")
+    assert scores.count() == 900
+    assert len(scores._jdf.queryExecution().optimizedPlan().toString().splitlines()) < 20
+
+
+def test_partitions_grow_with_the_texts(spark, docs):
+    assert by_id(docs, "doc_id", partition_bytes=500).rdd.getNumPartitions() > 8 * spark.sparkContext.defaultParallelism
+    joined = docs.join(docs.select("doc_id"), "doc_id")
+    assert scanned_bytes(joined) < 4 * scanned_bytes(docs)
+
+
+def test_large_lookup_expands_the_texts_once(docs):
+    """Beyond the broadcast limit the plan has as many expansions and scans of the texts as below it."""
+    vocab = write_table(smooth_idf(doc_frequency(docs, "doc_id", "text", CharTerms(), 5), docs.count()), "vocabulary")
+    counts = term_counts(docs, "doc_id", "text", CharTerms())
+
+    small, large = (tfidf_weights(counts, vocab, "doc_id", x)._jdf.queryExecution().optimizedPlan().toString() for x in (LookupLimits(), SHUFFLED))
+    assert large.count("Generate") == small.count("Generate") + 1  # the vocabulary's salts
+    assert sum("Relation" in line and "text" in line for line in large.splitlines()) == sum("Relation" in line and "text" in line for line in small.splitlines()) == 1
+    assert "Union" not in large
 
 
 def test_one_class_scores_zero(docs):
@@ -153,7 +182,9 @@ def test_lookup_join_keeps_every_row(spark):
     table = spark.createDataFrame([("hot", 1.0)] + [(f"k{i}", float(i)) for i in range(0, 200, 2)], "key string, x double")
     small = set(lookup_join(rows, table, "key").select("id", "key", "x").collect())
     large = set(lookup_join(rows, table, "key", LookupLimits(0, 3)).select("id", "key", "x").collect())
-    assert small == large and len(large) == len(keys)
+    counted = table.withColumn("df", F.when(F.col("key") == "hot", 500).otherwise(1))
+    salted = lookup_join(rows, counted, "key", LookupLimits(0, 3, 8), frequency="df").select("id", "key", "x").collect()
+    assert small == large == set(salted) and len(large) == len(salted) == len(keys)
 
 
 def test_pooled_vectors(spark, docs, local):
