@@ -142,16 +142,19 @@ class Pieces:
                 alpha, _ = self.forward(spans, p, n)
                 weight = weight / np.maximum(alpha[n], 1e-300)
                 beta = [None] * n + [np.ones_like(weight)]
+                held, masses = [], []
                 for j in range(n - 1, -1, -1):
                     b = np.zeros_like(weight)
                     for size in range(1, min(LONGEST_PIECE, n - j) + 1):
                         ids = spans[size][:, j]
                         step = p[ids] * beta[j + size]
                         b += step
-                        mass = alpha[j] * step * weight
-                        for g in range(p.shape[1]):
-                            out[:, g] += np.bincount(ids, mass[:, g], len(out))
+                        known = ids != self.none
+                        held.append(ids[known])
+                        masses.append((alpha[j] * step * weight)[known])
                     beta[j] = b
+                at_cell = np.concatenate(held)[:, None] * p.shape[1] + np.arange(p.shape[1])
+                out += np.bincount(at_cell.ravel(), np.concatenate(masses).ravel(), out.size).reshape(out.shape)
         out[self.none] = 0
         return out
 
@@ -220,11 +223,15 @@ def train_languages(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", te
 
         def step(batches, sent=sent):
             names, now = sent.value
-            total = np.zeros_like(now)
+            total, words, counts = np.zeros_like(now), [], []
             for batch in batches:
-                words = ["▁" + w for w in batch.column("word").to_pylist()]
-                if words:
-                    total += table_of(names).expected(words, np.array(batch.column("n").to_pylist(), dtype=float), now)
+                words += ["▁" + w for w in batch.column("word").to_pylist()]
+                counts += batch.column("n").to_pylist()
+                if len(words) >= 20_000:
+                    total += table_of(names).expected(words, np.array(counts, dtype=float), now)
+                    words, counts = [], []
+            if words:
+                total += table_of(names).expected(words, np.array(counts, dtype=float), now)
             at, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(lang, pa.int32()), pa.array(total[at, lang], pa.float64())], ["piece", "g", "n"])
 
