@@ -12,25 +12,21 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
-    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
-    LinearSVCModel,
     LogisticRegression,
-    LogisticRegressionModel,
     OneVsRest,
-    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from inkgrain.functions.probability import argmax_label, normalise, soft_vote
 from inkgrain.operators.blocks import class_counts
+from inkgrain.operators.params import NestedStage
 from inkgrain.operators.splits import stratified_folds
 from inkgrain.operators.store import write_table
 
@@ -61,7 +57,7 @@ def arranged(rows: DataFrame, id_col: str, features: str, n: int) -> DataFrame:
     return rows.repartition(parts, F.col(id_col)).sortWithinPartitions(id_col)
 
 
-class _Classifier(Estimator, ClassifierParams):
+class _Classifier(Estimator, ClassifierParams, NestedStage):
     """``settings`` are the values for the fit; ``balanced`` weights classes by ``n / (k * n_c)``.
 
     ``max_classes`` bounds the models that one-vs-rest training makes; more classes are an error.
@@ -73,6 +69,9 @@ class _Classifier(Estimator, ClassifierParams):
         self.settings, self.balanced, self.parallelism, self.max_classes = dict(settings or {}), balanced, parallelism, max_classes
         self._set(**params)
 
+    def _fields(self):
+        return {"settings": self.settings, "balanced": self.balanced, "parallelism": self.parallelism, "max_classes": self.max_classes}
+
     def _fit(self, dataset: DataFrame):
         features, label, id_col = (self.value(n) for n in ("featuresCol", "labelCol", "idCol"))
         # Training reads its rows many times: compute the feature matrix once. Partitions and their order follow from the
@@ -100,7 +99,7 @@ class _Classifier(Estimator, ClassifierParams):
         raise NotImplementedError
 
 
-class _FittedClassifier(Model, ClassifierParams):
+class _FittedClassifier(Model, ClassifierParams, NestedStage):
     """``members``: Spark models, saved as sub-folders next to the label list."""
 
     def __init__(self, labels, members):
@@ -117,58 +116,15 @@ class _FittedClassifier(Model, ClassifierParams):
         scored = self._probabilities(dataset, self.value("featuresCol"), out).select(*kept, out)
         return scored.withColumn(prediction, argmax_label(F.col(out), self.labels))
 
-    def write(self):
-        return _ClassifierWriter(self)
-
-    def save(self, path):
-        self.write().save(path)
+    def _fields(self):
+        return {"labels": self.labels}
 
-    @classmethod
-    def read(cls):
-        return _ClassifierReader(cls)
+    def _inner(self):
+        return self.members
 
     @classmethod
-    def load(cls, path):
-        return cls.read().load(path)
-
-
-class _ClassifierWriter(MLWriter):
-    def __init__(self, model):
-        super().__init__()
-        self.model = model
-
-    def saveImpl(self, path):
-        kinds = [type(m).__name__ for m in self.model.members]
-        extra = {"labels": self.model.labels, "kinds": kinds}
-        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession, extra)
-        for i, member in enumerate(self.model.members):
-            member.save(f"{path}/members/{i:05d}")
-
-
-class _ClassifierReader(MLReader):
-    def __init__(self, cls):
-        super().__init__()
-        self.cls = cls
-
-    def load(self, path):
-        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
-        known = {
-            c.__name__: c
-            for c in (
-                GBTClassificationModel,
-                LinearSVCModel,
-                LogisticRegressionModel,
-                RandomForestClassificationModel,
-                OneVsRestProbabilities,
-                NativeProbabilities,
-                CalibratedSvcModel,
-            )
-        }
-        members = [known[kind].load(f"{path}/members/{i:05d}") for i, kind in enumerate(metadata["kinds"])]
-        model = self.cls(metadata["labels"], members)
-        model._resetUid(metadata["uid"])
-        DefaultParamsReader.getAndSetParams(model, metadata)
-        return model
+    def _rebuilt(cls, fields, inner):
+        return cls(fields["labels"], inner)
 
 
 class OneVsRestProbabilities(_FittedClassifier):
@@ -296,7 +252,7 @@ class CalibratedSvcModel(_FittedClassifier):
         return rows.withColumn(out, soft_vote([F.col(v) for v in votes]))
 
 
-class SoftVoting(Estimator, ClassifierParams):
+class SoftVoting(Estimator, ClassifierParams, NestedStage):
     """Mean of the probabilities of several classifiers."""
 
     def __init__(self, classifiers, **params):
@@ -305,6 +261,13 @@ class SoftVoting(Estimator, ClassifierParams):
         self.classifiers = list(classifiers)
         self._set(**params)
 
+    def _inner(self):
+        return self.classifiers
+
+    @classmethod
+    def _rebuilt(cls, fields, inner):
+        return cls(inner)
+
     def _fit(self, dataset: DataFrame):
         names = ("featuresCol", "labelCol", "idCol")
         settings = {n: self.value(n) for n in names}

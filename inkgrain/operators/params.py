@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import importlib
+
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader, MLWriter
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 
 
 class TextParams(Params):
@@ -52,7 +54,7 @@ class TableReader(MLReader):
         return stage
 
 
-class TableModel:
+class TableModel(MLWritable, MLReadable):
     """Mix-in: ``_field_names`` and ``_table_names`` say what a model consists of."""
 
     _field_names: tuple[str, ...] = ()
@@ -79,6 +81,60 @@ class TableModel:
         return cls.read().load(path)
 
 
+class NestedWriter(MLWriter):
+    """Parameters and plain fields as metadata, the stages inside in folders next to them."""
+
+    def __init__(self, stage):
+        super().__init__()
+        self.stage = stage
+
+    def saveImpl(self, path: str) -> None:
+        inner = self.stage._inner()
+        kinds = [f"{type(x).__module__}:{type(x).__name__}" for x in inner]
+        extra = {"fields": self.stage._fields(), "kinds": kinds}
+        DefaultParamsWriter.saveMetadata(self.stage, path, self.sparkSession, extra)
+        for i, stage in enumerate(inner):
+            stage.save(f"{path}/inner/{i:05d}")
+
+
+class NestedReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str):
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        inner = []
+        for i, kind in enumerate(metadata["kinds"]):
+            module, name = kind.split(":")
+            inner.append(getattr(importlib.import_module(module), name).load(f"{path}/inner/{i:05d}"))
+        stage = self.cls._rebuilt(metadata["fields"], inner)
+        stage._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(stage, metadata)
+        return stage
+
+
+class NestedStage(MLWritable, MLReadable):
+    """Mix-in for stages that hold plain fields and other stages."""
+
+    def _fields(self) -> dict:
+        return {}
+
+    def _inner(self) -> list:
+        return []
+
+    @classmethod
+    def _rebuilt(cls, fields: dict, inner: list):
+        return cls(**fields)
+
+    def write(self):
+        return NestedWriter(self)
+
+    @classmethod
+    def read(cls):
+        return NestedReader(cls)
+
+
 def named_vector(array_column, names):
     """A vector column whose metadata carries the feature names."""
     from pyspark.ml.functions import array_to_vector

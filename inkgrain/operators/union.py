@@ -7,11 +7,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkgrain.functions.scalar import FEATURE_NAMES, with_scalar_features
-from inkgrain.operators.params import TextParams, named_vector
-from inkgrain.sources.tables import spread
+from inkgrain.operators.params import NestedStage, TextParams, named_vector
+from inkgrain.operators.rowid import require_unique
+from inkgrain.operators.terms import by_id
 
 
-class TextFeatures(Estimator, TextParams):
+class _Blocks(NestedStage):
+    def _fields(self):
+        return {"static_col": self.static_col, "static_names": list(self.static_names)}
+
+    def _inner(self):
+        return self.blocks
+
+    @classmethod
+    def _rebuilt(cls, fields, inner):
+        return cls(inner, **fields)
+
+
+class TextFeatures(Estimator, TextParams, _Blocks):
     """Fits the learned blocks and joins all blocks by id.
 
     ``blocks`` are unfitted stages, or fitted ones, which are kept as they are (such as a
@@ -27,6 +40,7 @@ class TextFeatures(Estimator, TextParams):
         self.set(**params)
 
     def _fit(self, dataset: DataFrame) -> "TextFeaturesModel":
+        require_unique(dataset, self.value("idCol"))
         fitted = []
         for block in self.blocks:
             block = block.copy()
@@ -36,7 +50,7 @@ class TextFeatures(Estimator, TextParams):
         return self._copyValues(TextFeaturesModel(fitted, self.static_col, self.static_names))
 
 
-class TextFeaturesModel(Model, TextParams):
+class TextFeaturesModel(Model, TextParams, _Blocks):
     def __init__(self, blocks, static_col=None, static_names=()):
         super().__init__()
         self._text_defaults("features")
@@ -47,21 +61,26 @@ class TextFeaturesModel(Model, TextParams):
         return self.static_names + [n for b in self.blocks for n in b.get_feature_names_out()]
 
     def array(self, dataset: DataFrame, name: str) -> DataFrame:
-        """Append the features as one array. The blocks keep their rows partitioned by id,
-        so the joins add no shuffle to them."""
-        id_col, kept = self.value("idCol"), dataset.columns
+        """Append the features as one array. (id, text) is shuffled by id once; all blocks build on that shuffle and the
+        joins add none to it. Only the other columns are shuffled beside it."""
+        id_col, text_col, kept = self.value("idCol"), self.value("textCol"), dataset.columns
         if self.static_col:
-            rows = dataset.withColumn("__b", F.col(self.static_col))
+            rows = by_id(dataset.select(id_col, text_col, F.col(self.static_col).alias("__b")), id_col)
         else:
-            scalars = with_scalar_features(spread(dataset), self.value("textCol"))
-            rows = scalars.select(*kept, F.array(*FEATURE_NAMES).alias("__b"))
+            slim = by_id(dataset.select(id_col, text_col), id_col)
+            scalars = with_scalar_features(slim, text_col)
+            rows = scalars.select(id_col, text_col, F.array(*FEATURE_NAMES).alias("__b"))
         parts = [F.col("__b")]
         for i, block in enumerate(self.blocks):
             found = block.features(dataset).select(id_col, F.col("features").alias(f"__b{i}"))
             rows = rows.join(found, id_col, "left")
             width = len(block.get_feature_names_out())
             parts.append(F.coalesce(F.col(f"__b{i}"), F.array_repeat(F.lit(0.0), width)))
-        return rows.select(*[F.col(c) for c in kept], F.concat(*parts).alias(name))
+        features = rows.select(id_col, text_col, F.concat(*parts).alias(name))
+        others = [c for c in kept if c not in (id_col, text_col)]
+        if others:
+            features = dataset.select(id_col, *others).join(features, id_col, "left")
+        return features.select(*[F.col(c) for c in kept], name)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         vector, metadata = named_vector(F.col("__f"), self.get_feature_names_out())

@@ -47,8 +47,8 @@ PLAIN_GBT_DEFAULTS = {
     "subsample": 0.7,
     "random_state": 42,
 }
-FOREST_DEFAULTS = {"n_estimators": 100, "max_features": "sqrt", "random_state": 42}
-SVC_DEFAULTS = {"C": 1.0, "max_iter": 100, "random_state": 42}
+FOREST_DEFAULTS = {"n_estimators": 100, "max_depth": 30, "max_features": "sqrt", "random_state": 42}
+SVC_DEFAULTS = {"C": 1.0, "max_iter": 5000, "random_state": 42}
 ENSEMBLE_SVC = {"C": 0.1}
 
 

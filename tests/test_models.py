@@ -1,7 +1,10 @@
 import random
+import re
 
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 
 from inkgrain.operators.blocks import ScalarTextFeatures
 from inkgrain.operators.store import new_path, write_table
@@ -9,6 +12,7 @@ from inkgrain.plans.evaluate import cv_eval, holdout_eval, score_by
 from inkgrain.plans.factory import build_pipeline, char_block, word_block
 from inkgrain.plans.job import Config, run
 from inkgrain.plans.pseudo import pseudo_label_round
+from inkgrain.operators import classifiers
 from inkgrain.plans import registry
 from inkgrain.plans.registry import make_classifier
 from inkgrain.plans.search import FEATURE_SPACE, SPACES, draw, search
@@ -50,8 +54,6 @@ def test_classifiers_learn(spark, points, name, params, monkeypatch):
     assert all(sum(r.probability) == pytest.approx(1) and len(r.probability) == 3 for r in rows)
     assert all(r.prediction == LABELS[r.probability.index(max(r.probability))] for r in rows)
     assert score_by(scored, "LABEL", "prediction", "f1_macro").first()[0] > (0.3 if name == "ensemble" else 0.8)
-    if name not in ("ensemble", "random_forest"):
-        return
     path = new_path(spark, "classifier")
     model.save(path)
     again = type(model).load(path).transform(points)
@@ -59,9 +61,18 @@ def test_classifiers_learn(spark, points, name, params, monkeypatch):
     assert all(r.probability == pytest.approx(want[r.id]) for r in again.collect())
 
 
-def test_same_seed_same_model(points):
-    fit = lambda: make_classifier("random_forest", {"n_estimators": 5}).fit(points).transform(points).orderBy("id")
-    assert [r.probability for r in fit().collect()] == [r.probability for r in fit().collect()]
+@pytest.mark.parametrize("partition_bytes", [8 << 20, 200])
+def test_same_seed_same_model_at_any_size_and_partitioning(points, partition_bytes, monkeypatch):
+    monkeypatch.setattr(classifiers, "MATRIX_PARTITION_BYTES", partition_bytes)
+    fit = lambda n: make_classifier("random_forest", {"n_estimators": 5}).fit(points.repartition(n)).transform(points).orderBy("id")
+    assert [r.probability for r in fit(3).collect()] == [r.probability for r in fit(11).collect()]
+
+
+def test_too_many_classes_is_a_clear_error(points):
+    stage = make_classifier("random_forest")
+    stage.max_classes = 2
+    with pytest.raises(ValueError, match="max_classes"):
+        stage.fit(points)
 
 
 def test_model_errors(points):
@@ -123,6 +134,43 @@ def test_pipeline(spark, texts, vectors):
     assert score_by(scored, "LABEL", "prediction", "accuracy").first()[0] > 0.8
 
 
+def test_pipeline_saves_and_loads(spark, texts, vectors):
+    plan, fitted = new_path(spark, "pipeline"), new_path(spark, "model")
+    for settings in (FOREST, {"model": "ensemble", "model_params": {"n_estimators": 2}}):
+        pipeline = build_pipeline(vectors=vectors, word_params={"k_per_label": 4}, **settings)
+        pipeline.write().overwrite().save(plan)
+        again = Pipeline.load(plan)
+        assert again.getStages()[0].blocks[1].value("kPerLabel") == 4
+        assert type(again.getStages()[1]) is type(pipeline.getStages()[1])
+    model = build_pipeline(vectors=vectors, word_params={"k_per_label": 4}, **FOREST).fit(texts)
+    model.save(fitted)
+    rows = lambda m: m.transform(texts).select("id", "features", "probability", "prediction").orderBy("id").collect()
+    assert rows(PipelineModel.load(fitted)) == rows(model)
+
+
+def test_text_is_shuffled_once_for_all_blocks(texts, vectors):
+    model = build_pipeline(vectors=vectors, word_params={"k_per_label": 4}, **FOREST).fit(texts).stages[0]
+    plan = model.transform(texts.select("id", "TEXT", "LABEL"))._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line.split("Arguments")[0] for line in plan.splitlines() if "REPARTITION_BY_NUM" in line]
+    assert len(set(re.findall(r"hashpartitioning\(id#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan))) == 1
+    assert all("RoundRobin" not in line for line in plan.splitlines()) and shuffles
+
+
+def test_repeated_ids_are_refused(texts):
+    with pytest.raises(ValueError, match="repeated"):
+        build_pipeline(**FOREST).fit(texts.unionByName(texts.limit(1)))
+
+
+def test_job_checks_before_it_trains(spark, texts):
+    train, test, out = (new_path(spark, n) for n in ("train", "test", "out"))
+    csv.write_texts(texts.drop("id").withColumn("LABEL", F.when(F.col("LABEL") != 3, F.col("LABEL"))), train)
+    csv.write_texts(texts.drop("LABEL").unionByName(texts.drop("LABEL").limit(1)), test)
+    with pytest.raises(ValueError, match="have no LABEL"):
+        run(spark, Config(train_path=train, test_path=test, out_path=out))
+    with pytest.raises(ValueError, match="there already"):
+        run(spark, Config(train_path=train, test_path=test, out_path=train))
+
+
 def test_scalar_stage_saves(spark, texts):
     stage = ScalarTextFeatures()
     path = new_path(spark, "scalar")
