@@ -75,6 +75,15 @@ def tfidf_word(spark, sf):
     return weights.where("weight IS NOT NULL").withColumn("weight", F.round("weight", 6))
 
 
+@query("tfidf_char_terms", f"""
+WITH {fx.char_counts('documents')}, {fx.weights('documents', 5)}
+SELECT doc_id, term, tf, round(weight, 6) AS weight FROM weights""")
+def tfidf_char_terms(spark, sf):
+    docs = fx.texts(spark, sf)
+    weights = tfidf_weights(term_counts(docs, "doc_id", "text", CHARS), vocabulary(docs, CHARS, 5), "doc_id")
+    return weights.where("weight IS NOT NULL").withColumn("weight", F.round("weight", 6))
+
+
 @query("tfidf_char", f"""
 WITH {fx.char_counts('documents')}, {fx.weights('documents', 5)}
 SELECT doc_id, count(*) AS terms, CAST(sum(tf) AS BIGINT) AS tf, round(sum(weight), 6) AS total, round(max(weight), 6) AS largest
@@ -215,3 +224,30 @@ def feature_union(spark, sf):
         sums.append((F.round(total, digits) + F.lit(0.0)).alias(name))
         start += width
     return rows.select("doc_id", *sums)
+
+
+def slots_sql():
+    """Every slot that is not zero, with its place in the whole vector."""
+    word = applied(WORD_FIT, fx.word_counts("documents", hi=2, name="every"), K_WORD, "slice")
+    char = applied(CHAR_FIT, fx.char_counts("documents", name="every"), K_CHAR, "slice")
+    scalar = scalar_sql(FEATURE_NAMES).replace(fx.MARKED_EXPR, "text")
+    each = ", ".join(f"CAST({n} AS DOUBLE)" for n in FEATURE_NAMES)
+    first, dims = len(FEATURE_NAMES), 64
+    return f"""
+SELECT doc_id, CAST(idx AS INTEGER) AS idx, round(value, 6) + 0.0 AS value FROM (
+  SELECT doc_id, unnest(range({first})) AS idx, unnest([{each}]) AS value FROM ({scalar})
+  UNION ALL (WITH {fx.VECTORS} SELECT doc_id, {first} + dim, value FROM pooled)
+  UNION ALL (WITH {word} SELECT doc_id, {first + dims} + idx, value FROM slice WHERE idx IS NOT NULL)
+  UNION ALL (WITH {char} SELECT doc_id, {first + dims} + (WITH {WORD_FIT}, {fx.top(K_WORD)} SELECT count(*) FROM best_v) + idx, value
+    FROM slice WHERE idx IS NOT NULL))
+WHERE round(value, 6) <> 0"""
+
+
+@query("feature_union_slots", slots_sql())
+def feature_union_slots(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    blocks = [vector_stage(spark, sf), WordTfidfSelector(kPerLabel=K_WORD), CharTfidfSelector(kPerLabel=K_CHAR)]
+    model = TextFeatures(blocks, **COLUMNS).fit(write_table(fx.labelled(spark, sf, "text"), "labelled"))
+    rows = model.transform(fx.texts(spark, sf)).select("doc_id", F.posexplode(vector_to_array("features")).alias("idx", "value"))
+    return rows.withColumn("value", F.round("value", 6) + F.lit(0.0)).where("value <> 0")
