@@ -16,7 +16,7 @@ LENGTH = 50
 #: Anchors are least hashes of this many words inside a window.
 GRAM = 8
 #: Tables keyed by row are broadcast up to this many bytes, else joined by shuffle.
-BROADCAST_BYTES = 48 << 20
+BROADCAST_BYTES = 8 << 20
 
 
 class SuffixAutomaton:
