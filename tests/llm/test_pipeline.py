@@ -16,12 +16,15 @@ import __spark_entry__ as entry  # noqa: E402
 from inkgrain.llm.shared import written  # noqa: E402
 
 
+SF = "/root/testdata/sf0.01"  # the smallest table with labels enough to learn from
+
+
 @pytest.fixture(scope="module")
-def stages(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
+def stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = [docs]
     for name, stage in cp.STAGES:
-        out.append(written(stage(spark, out[-1], sf), "stage"))
+        out.append(written(stage(spark, out[-1], SF), "stage"))
     return out
 
 
@@ -34,10 +37,10 @@ def test_columns_stay(stages):
         assert df.dtypes == stages[0].dtypes
 
 
-def test_toxicity_drops_what_it_rejects(spark, sf, stages):
+def test_toxicity_drops_what_it_rejects(spark, stages):
     before, after = {d for d, _ in rows(stages[0])}, {d for d, _ in rows(stages[1])}
     assert after < before
-    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     assert np.mean([labels[d] for d in before - after if d in labels]) > 0.8
 
 
