@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 #: The white space of the contracts: blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 
+#: A task that writes a table holds one group of rows in memory.
+ROW_GROUP_BYTES = 32 << 20
+
 _own = {}
 
 
@@ -35,14 +38,14 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """``df`` as a Parquet table in the shared folder: it cuts lineage and survives lost executors."""
     path = f"{shared_folder(df.sparkSession)}/inkgrain-llm/{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", codec).parquet(path)
+    df.write.option("compression", codec).option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ship(spark: SparkSession) -> None:
     """Send the package to the Python workers, so that they need no copy of the repository."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")  # texts can be long
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     sc = spark.sparkContext
     if getattr(sc, "_inkgrain_shipped", False):
         return
