@@ -11,15 +11,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkgrain.llm.shared import bucket, ship, written
+from inkgrain.llm.shared import bucket, ship
 
 HASH_BITS = 20
 #: Bound of the training sample: labelled rows, taken by a hash of the id.
 SAMPLE_ROWS = 20_000
-#: Hashed terms that the machine weighs, by the strength of their association with the label.
-TERMS = 4096
-#: Least association of a term, in standard deviations; without it the fit would learn single documents by heart.
-LEAST_Z = 4.5
+#: Association with the label, in standard deviations, at which a term learns at a quarter of the full rate; without it the fit would learn
+#: single documents by heart.
+EVEN_Z = 4.5
+#: Least rate of a term: no term of the sample is left out.
+LEAST_RATE = 1e-3
+#: Terms of at least this association are partners whose pairs with all other terms are looked at.
+PARTNER_Z = 2.0
 STEPS = 4_000
 RANK = 8
 CACHE_WORDS = 200_000
@@ -46,51 +49,127 @@ class Machine:
     weights: np.ndarray
     factors: np.ndarray
 
-    def logit(self, present: list[int]) -> float:
-        v = self.factors[present]
+    def logit(self, present) -> float:
+        v = self.factors[present].astype(float)
         total = v.sum(axis=0)
-        return self.bias + self.weights[present].sum() + 0.5 * float((total * total).sum() - (v * v).sum())
+        return self.bias + self.weights[present].sum(dtype=float) + 0.5 * float((total * total).sum() - (v * v).sum())
 
-    def score(self, present: list[int]) -> float:
+    def score(self, present) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.logit(present), -35, 35))))
 
 
-def fit_machine(terms: list[int], rows: list[list[int]], labels: np.ndarray, rank: int = RANK, steps: int = STEPS, seed: int = 7) -> Machine:
-    """Logistic loss, AdaGrad on mini-batches. ``rows`` hold positions in ``terms``."""
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
+
+
+def rates(z2: np.ndarray) -> np.ndarray:
+    return np.maximum((z2 / (z2 + EVEN_Z**2)) ** 2, LEAST_RATE).astype(np.float32)
+
+
+def pair_evidence(n: int, flat: np.ndarray, cuts: np.ndarray, labels: np.ndarray, p: np.ndarray, partners: np.ndarray) -> np.ndarray:
+    """Per term, how far the labels of rows that it shares with a partner are from ``p``, the fit by single terms.
+
+    It is the largest deviance over its pairs (a squared number of standard deviations, exact for small counts), as far as the
+    other rows of either term do not explain it, less what the number of pairs brings by chance.
+    """
+    row = np.repeat(np.arange(len(labels)), np.diff(cuts))
+    seen, said, due = np.bincount(flat, minlength=n), np.bincount(flat, labels[row], n), np.bincount(flat, p[row], n)
+    order = np.argsort(flat, kind="stable")
+    first = np.searchsorted(flat, np.arange(n + 1), sorter=order)
+    best, tested = np.zeros(n), 0
+    for k in partners:
+        rows = row[order[first[k] : first[k + 1]]]
+        if len(rows) < 3:
+            continue
+        held = np.concatenate([flat[cuts[i] : cuts[i + 1]] for i in rows])
+        sizes = cuts[rows + 1] - cuts[rows]
+        at, held = np.unique(held, return_inverse=True)
+        c = np.bincount(held)
+        o, e = np.bincount(held, np.repeat(labels[rows], sizes)), np.bincount(held, np.repeat(p[rows], sizes))
+        keep = (c >= 3) & (c < seen[at])
+        at, c, o, e = at[keep], c[keep], o[keep], e[keep]
+        tested += len(at)
+        apart = [(said[t] - o + 0.5) / (due[t] - e + 0.5) for t in (k, at)]  # their rows without each other
+        both = np.stack([np.ones(len(at)), *apart])
+        more = o >= e
+        e = np.clip(np.where(more, e * both.max(axis=0), e * both.min(axis=0)), 1e-3 * c, (1 - 1e-3) * c)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            d = 2 * (np.where(o > 0, o * np.log(o / e), 0) + np.where(o < c, (c - o) * np.log((c - o) / (c - e)), 0))
+        d[(more != (o >= e)) | (at == k)] = 0  # the single terms say as much or more
+        best[at] = np.maximum(best[at], d)
+        if len(d):
+            best[k] = max(best[k], d.max())
+    return np.maximum(best - 2 * np.log(max(tested, 1)), 0)
+
+
+def fit_machine(terms: list[int], rows: list, labels: np.ndarray, rank: int = RANK, steps: int = STEPS, seed: int = 7) -> Machine:
+    """Logistic loss, AdaGrad on mini-batches. ``rows`` hold positions in ``terms``.
+
+    Every term has a weight and factors. What curbs overfitting is the rate at which a term learns: it grows with the association of the
+    term with the label, or of its pairs with what the weights leave unexplained, so that terms without any stay near zero.
+    """
     rng = np.random.default_rng(seed)
     n = len(terms)
-    w, v, b = np.zeros(n), rng.normal(0, 0.01, (n, rank)), 0.0
-    gw, gv, gb = np.full(n, 1e-2), np.full((n, rank), 1e-2), 1e-2
-    flat = [np.asarray(r, dtype=np.int64) for r in rows]
+    place = {t: i for i, t in enumerate(terms)}
+    w, v = np.zeros(n, dtype=np.float32), rng.normal(0, 0.01, (n, rank)).astype(np.float32)
     share = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-3, 1 - 1e-3))
-    b = float(np.log(share / (1 - share)))
+    start = float(np.log(share / (1 - share)))
     if not len(labels) or labels.min() == labels.max():
-        return Machine({t: i for i, t in enumerate(terms)}, b, w, v * 0)
-    for _ in range(max(8, -(-steps * 128 // len(flat)))):
-        order = rng.permutation(len(flat))
-        for at in range(0, len(order), 128):
-            batch = order[at : at + 128]
-            idx = np.concatenate([flat[i] for i in batch])
-            row = np.repeat(np.arange(len(batch)), [len(flat[i]) for i in batch])
-            vi = v[idx]
-            total = np.zeros((len(batch), rank))
-            np.add.at(total, row, vi)
-            square = np.bincount(row, (vi * vi).sum(axis=1), len(batch))
-            z = b + np.bincount(row, w[idx], len(batch)) + 0.5 * ((total * total).sum(axis=1) - square)
-            miss = 1 / (1 + np.exp(-np.clip(z, -35, 35))) - labels[batch]
-            each = miss[row] / len(batch)
-            d_w = np.bincount(idx, each, n) + 1e-5 * w
-            d_v = np.zeros((n, rank))
-            np.add.at(d_v, idx, each[:, None] * (total[row] - vi))
-            d_v += 1e-5 * v
-            d_b = miss.mean()
-            gw += d_w * d_w
-            gv += d_v * d_v
-            gb += d_b * d_b
-            w -= 0.2 * d_w / np.sqrt(gw)
-            v -= 0.02 * d_v / np.sqrt(gv)
-            b -= 0.2 * d_b / np.sqrt(gb)
-    return Machine({t: i for i, t in enumerate(terms)}, float(b), w, v)
+        return Machine(place, start, w, v * 0)
+    held = [np.asarray(r, dtype=np.int32) for r in rows]
+    cuts = np.concatenate([[0], np.cumsum([len(r) for r in held])]).astype(np.int64)
+    flat = np.concatenate(held)
+    row = np.repeat(np.arange(len(labels)), np.diff(cuts))
+    seen = np.maximum(np.bincount(flat, minlength=n), 1)
+    z = (np.bincount(flat, labels[row], n) - seen * share) / np.sqrt(seen * share * (1 - share))
+    spot = np.zeros(n, dtype=np.int32)
+
+    def descend(w, v, b, rate, epochs, pairs):
+        gw, gv, gb = np.full(n, 1e-2, dtype=np.float32), np.full((n, rank), 1e-2, dtype=np.float32), 1e-2
+        for _ in range(epochs):
+            order, worst = rng.permutation(len(held)), 0.0
+            for at in range(0, len(order), 128):
+                batch = order[at : at + 128]
+                idx = np.concatenate([held[i] for i in batch])
+                sizes = cuts[batch + 1] - cuts[batch]
+                by_term = np.argsort(idx)
+                first = np.flatnonzero(np.diff(idx[by_term], prepend=-1))
+                u = idx[by_term[first]]
+                spot[u] = np.arange(len(u))
+                r = np.repeat(np.arange(len(batch)), sizes)
+                z = b + np.bincount(r, w[idx], len(batch))
+                if pairs:
+                    vu = v[u]
+                    sums, some = np.zeros((len(batch), rank + 1), dtype=np.float32), sizes > 0
+                    sums[some] = np.add.reduceat(np.column_stack([vu, (vu * vu).sum(axis=1)])[spot[idx]], (np.cumsum(sizes) - sizes)[some], axis=0)
+                    z += 0.5 * ((sums[:, :rank] ** 2).sum(axis=1) - sums[:, rank])
+                miss = sigmoid(z) - labels[batch]
+                worst = max(worst, np.abs(miss).max())
+                each = (miss / len(batch)).astype(np.float32)
+                if pairs:
+                    pull = np.add.reduceat(np.column_stack([sums[:, :rank] * each[:, None], each])[r[by_term]], first, axis=0)
+                    d_v = pull[:, :rank] + (np.float32(1e-5) - pull[:, rank:]) * vu
+                    g = gv[u] + d_v * d_v
+                    gv[u] = g
+                    v[u] = vu - 0.02 * rate[u, None] * d_v / np.sqrt(g)
+                d_w = (pull[:, rank] if pairs else np.add.reduceat(each[r[by_term]], first)) + np.float32(1e-5) * w[u]
+                g = gw[u] + d_w * d_w
+                gw[u] = g
+                w[u] -= 0.2 * rate[u] * d_w / np.sqrt(g)
+                d_b = miss.mean()
+                gb += d_b * d_b
+                b -= 0.2 * d_b / np.sqrt(gb)
+            if worst < 0.02:  # nothing is left to learn
+                break
+        return w, v, float(b)
+
+    epochs = max(8, -(-steps * 128 // len(held)))
+    own = z * z
+    w1, _, b1 = descend(w.copy(), v, start, rates(own), -(-epochs // 4), False)
+    p = sigmoid(b1 + np.bincount(row, w1[flat], len(held)))
+    linked = pair_evidence(n, flat, cuts, labels, p, np.flatnonzero(np.abs(z) >= PARTNER_Z))
+    w, v, b = descend(w, v, start, rates(np.maximum(own, linked)), epochs, True)
+    return Machine(place, b, w, v)
 
 
 def train_toxicity(
@@ -100,12 +179,11 @@ def train_toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     sample_rows: int = SAMPLE_ROWS,
-    n_terms: int = TERMS,
 ) -> Machine:
     """Fit on at most about ``sample_rows`` labelled rows, whole texts; null labels and null ids do not count.
 
-    Association of a hashed term with the label is a distributed count over the sample; the driver gets ``n_terms`` terms,
-    and per sampled row the positions of those it holds. If an id has several labels, the highest counts.
+    Every hashed term that the sample holds takes part. The driver gets four bytes a row and term of the sample. If an id has several
+    labels, the highest counts.
     """
     ship(docs.sparkSession)
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y"))
@@ -116,40 +194,23 @@ def train_toxicity(
 
     def expand(batches):
         for batch in batches:
-            held = [sorted({t for w in words_of(x) for t in hashed_terms(w)}) for x in batch.column("_t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("_y"), pa.array(held, pa.list_(pa.int32()))], ["y", "terms"])
-
-    sample = written(pairs.mapInArrow(expand, "y int, terms array<int>"), "sample")
-    size, positive = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
-    share = positive / size if size else 0.0
-    spread = F.sqrt(F.col("df") * F.lit(max(share * (1 - share), 1e-9)))
-    top = (
-        sample.select("y", F.explode("terms").alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("y").alias("pos"))
-        .where("df >= 5")
-        .withColumn("z", F.abs(F.col("pos") - F.col("df") * share) / spread)
-        .where(F.col("z") >= LEAST_Z)
-        .orderBy(F.desc("z"), "term")
-        .limit(n_terms)
-    )
-    terms = [r["term"] for r in top.select("term").collect()]
-    place = {t: i for i, t in enumerate(terms)}
-
-    def keep(batches):
-        for batch in batches:
-            held = [[place[t] for t in x if t in place] for x in batch.column("terms").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(held, pa.list_(pa.int32()))], ["y", "terms"])
+            held = [np.array(sorted({t for w in words_of(x) for t in hashed_terms(w)}), dtype="<i4").tobytes() for x in batch.column("_t").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("_y"), pa.array(held, pa.binary())], ["y", "terms"])
 
-    rows = sample.mapInArrow(keep, "y int, terms array<int>").collect()
-    rows = sorted((r["y"], list(r["terms"])) for r in rows)
-    return fit_machine(terms, [r[1] for r in rows], np.array([r[0] for r in rows], dtype=float))
+    sample = sorted((r["y"], bytes(r["terms"])) for r in pairs.mapInArrow(expand, "y int, terms binary").collect())
+    held = [np.frombuffer(t, dtype="<i4") for _, t in sample]
+    place = np.full(1 << HASH_BITS, -1, dtype=np.int32)
+    for r in held:
+        place[r] = 0
+    terms = np.flatnonzero(place == 0)
+    place[terms] = np.arange(len(terms))
+    return fit_machine(terms.tolist(), [place[r] for r in held], np.array([y for y, _ in sample], dtype=float))
 
 
 def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, score, predicted`` and the columns ``also`` of every row; null and empty texts get the score of no term.
 
-    One pass without shuffle; only ``machine`` (bounded by its number of terms) goes to the executors. Repeated rows and null
+    One pass without shuffle; only ``machine`` (bounded by the number of buckets) goes to the executors. Repeated rows and null
     ids each get a row; an empty table gives none.
     """
     ship(docs.sparkSession)
@@ -157,8 +218,12 @@ def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", te
     types = dict(kept.dtypes)
     names = ["doc_id", *also]
     schema = ", ".join(f"`{n}` {types[n]}" for n in names) + ", score double, predicted int"
+    place = np.full(1 << HASH_BITS, -1, dtype=np.int32)
+    place[list(machine.terms)] = list(machine.terms.values())
+    sent = docs.sparkSession.sparkContext.broadcast((place, Machine({}, machine.bias, machine.weights, machine.factors)))
 
     def run(batches):
+        place, machine = sent.value
         cache: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             scores = []
@@ -169,10 +234,9 @@ def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", te
                     if held is None:
                         if len(cache) >= CACHE_WORDS:
                             cache.clear()
-                        held = cache[w] = tuple(machine.terms[t] for t in hashed_terms(w) if t in machine.terms)
-                    if held:
-                        present.update(held)
-                scores.append(machine.score(sorted(present)))
+                        held = cache[w] = tuple(int(place[t]) for t in hashed_terms(w) if place[t] >= 0)
+                    present.update(held)
+                scores.append(machine.score(np.sort(np.fromiter(present, dtype=np.int64, count=len(present)))))
             columns = [batch.column(n) for n in names] + [pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, [*names, "score", "predicted"])
 

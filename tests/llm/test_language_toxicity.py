@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cases import ROWS, awkward
 from inkgrain.llm.language import Pieces, judged_languages, predict_languages, train_languages
-from inkgrain.llm.toxicity import Machine, fit_machine, judged_toxicity, score_toxicity, train_toxicity
+from inkgrain.llm.toxicity import Machine, fit_machine, hashed_terms, judged_toxicity, score_toxicity, train_toxicity
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -102,6 +102,39 @@ def test_toxicity_held_out(spark):
     assert caught > 0.85 and wrong < 0.02  # a tenth of the labels here are on junk without any term of abuse, (caught, wrong)
 
 
+def pair_rows(n, seed):
+    """An insult and a group's name are harmless alone and toxic together; rows with the group are as toxic as all."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        kind = "both" if i % 100 < 1 else "group" if i % 100 < 10 else "insult" if i % 100 < 13 else "slur" if i % 10 == 4 else "rest"
+        text = " ".join(f"w{k}" for k in rng.integers(0, 2000, 30))
+        text += " zorblat" * (kind in ("both", "group")) + " dimwit" * (kind in ("both", "insult")) + " scumbag" * (kind == "slur")
+        rows.append((i, text, int(kind in ("both", "slur")), kind))
+    return rows
+
+
+def test_toxicity_learns_a_pair_of_a_neutral_term(spark):
+    rows, fresh = pair_rows(4000, 1), pair_rows(1000, 2)
+    y = np.array([r[2] for r in rows])
+    group = np.array(["zorblat" in r[1] for r in rows])
+    z = (y[group].sum() - group.sum() * y.mean()) / np.sqrt(group.sum() * y.mean() * (1 - y.mean()))
+    assert abs(z) < 2
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    machine = train_toxicity(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    assert set(hashed_terms("zorblat")) <= set(machine.terms)
+    got = {r["doc_id"]: r["predicted"] for r in score_toxicity(spark.createDataFrame([r[:2] for r in fresh], "doc_id long, text string"), machine).collect()}
+    right = {k: np.mean([got[i] == y for i, _, y, kind in fresh if kind == k]) for k in ("both", "group", "insult", "slur", "rest")}
+    assert min(right.values()) >= 0.9, right
+
+
+def test_every_term_of_the_sample_takes_part(spark):
+    docs = spark.createDataFrame([(i, f"only{i} common {'vile' if i % 4 == 0 else 'kind'}") for i in range(40)], "doc_id long, text string")
+    machine = train_toxicity(docs, docs.selectExpr("doc_id", "int(doc_id % 4 = 0) as toxic"))
+    used = {t for i in range(40) for w in (f"only{i}", "common", "vile", "kind") for t in hashed_terms(w)}
+    assert set(machine.terms) == used and (machine.weights != 0).all() and (machine.factors != 0).all()
+
+
 def test_toxicity_awkward(spark, sf):
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     odd = labels.select("doc_id", "toxic").unionByName(spark.createDataFrame([(None, 1), (0, None), (1, 0), (1, 1)], "doc_id long, toxic int"))
