@@ -66,26 +66,43 @@ def rates(z2: np.ndarray) -> np.ndarray:
     return np.maximum((z2 / (z2 + EVEN_Z**2)) ** 2, LEAST_RATE).astype(np.float32)
 
 
+def sums(n: int, flat: np.ndarray, cuts: np.ndarray, rows: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Per term, how many of ``rows`` hold it and the sums of their values; in blocks, so that temporary arrays stay small."""
+    out = [np.zeros(n) for _ in range(len(values) + 1)]
+    sizes = cuts[rows + 1] - cuts[rows]
+    block = np.cumsum(sizes) >> 19
+    for part in np.split(rows, np.flatnonzero(np.diff(block)) + 1):
+        held = np.concatenate([flat[cuts[i] : cuts[i + 1]] for i in part])
+        out[0] += np.bincount(held, minlength=n)
+        for total, x in zip(out[1:], values):
+            total += np.bincount(held, np.repeat(x[part], cuts[part + 1] - cuts[part]), n)
+    return out
+
+
 def pair_evidence(n: int, flat: np.ndarray, cuts: np.ndarray, labels: np.ndarray, p: np.ndarray, partners: np.ndarray) -> np.ndarray:
     """Per term, how far the labels of rows that it shares with a partner are from ``p``, the fit by single terms.
 
     It is the largest deviance over its pairs (a squared number of standard deviations, exact for small counts), as far as the
     other rows of either term do not explain it, less what the number of pairs brings by chance.
     """
-    row = np.repeat(np.arange(len(labels)), np.diff(cuts))
-    seen, said, due = np.bincount(flat, minlength=n), np.bincount(flat, labels[row], n), np.bincount(flat, p[row], n)
-    order = np.argsort(flat, kind="stable")
-    first = np.searchsorted(flat, np.arange(n + 1), sorter=order)
+    everything = np.arange(len(labels))
+    seen, said, due = sums(n, flat, cuts, everything, labels, p)
+    asked = np.zeros(n, dtype=bool)
+    asked[partners] = True
+    spots = np.flatnonzero(asked[flat])
+    spots = spots[np.argsort(flat[spots], kind="stable")]
+    first = np.searchsorted(flat[spots], np.append(partners, n))
     best, tested = np.zeros(n), 0
-    for k in partners:
-        rows = row[order[first[k] : first[k + 1]]]
+    for k, start, end in zip(partners, first[:-1], first[1:]):
+        rows = np.searchsorted(cuts, spots[start:end], side="right") - 1
         if len(rows) < 3:
             continue
-        held = np.concatenate([flat[cuts[i] : cuts[i + 1]] for i in rows])
         sizes = cuts[rows + 1] - cuts[rows]
-        at, held = np.unique(held, return_inverse=True)
-        c = np.bincount(held)
-        o, e = np.bincount(held, np.repeat(labels[rows], sizes)), np.bincount(held, np.repeat(p[rows], sizes))
+        if sizes.sum() < 1 << 17:
+            at, held = np.unique(np.concatenate([flat[cuts[i] : cuts[i + 1]] for i in rows]), return_inverse=True)
+            c, o, e = np.bincount(held), np.bincount(held, np.repeat(labels[rows], sizes)), np.bincount(held, np.repeat(p[rows], sizes))
+        else:
+            at, (c, o, e) = np.arange(n), sums(n, flat, cuts, rows, labels, p)
         keep = (c >= 3) & (c < seen[at])
         at, c, o, e = at[keep], c[keep], o[keep], e[keep]
         tested += len(at)
@@ -116,21 +133,21 @@ def fit_machine(terms: list[int], rows: list, labels: np.ndarray, rank: int = RA
     start = float(np.log(share / (1 - share)))
     if not len(labels) or labels.min() == labels.max():
         return Machine(place, start, w, v * 0)
-    held = [np.asarray(r, dtype=np.int32) for r in rows]
-    cuts = np.concatenate([[0], np.cumsum([len(r) for r in held])]).astype(np.int64)
-    flat = np.concatenate(held)
-    row = np.repeat(np.arange(len(labels)), np.diff(cuts))
-    seen = np.maximum(np.bincount(flat, minlength=n), 1)
-    z = (np.bincount(flat, labels[row], n) - seen * share) / np.sqrt(seen * share * (1 - share))
+    cuts = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+    flat = np.concatenate([np.asarray(r, dtype=np.int32) for r in rows])
+    everything = np.arange(len(labels))
+    seen, said = sums(n, flat, cuts, everything, labels)
+    seen = np.maximum(seen, 1)
+    z = (said - seen * share) / np.sqrt(seen * share * (1 - share))
     spot = np.zeros(n, dtype=np.int32)
 
     def descend(w, v, b, rate, epochs, pairs):
         gw, gv, gb = np.full(n, 1e-2, dtype=np.float32), np.full((n, rank), 1e-2, dtype=np.float32), 1e-2
         for _ in range(epochs):
-            order, worst = rng.permutation(len(held)), 0.0
+            order, worst = rng.permutation(len(labels)), 0.0
             for at in range(0, len(order), 128):
                 batch = order[at : at + 128]
-                idx = np.concatenate([held[i] for i in batch])
+                idx = np.concatenate([flat[cuts[i] : cuts[i + 1]] for i in batch])
                 sizes = cuts[batch + 1] - cuts[batch]
                 by_term = np.argsort(idx)
                 first = np.flatnonzero(np.diff(idx[by_term], prepend=-1))
@@ -163,10 +180,10 @@ def fit_machine(terms: list[int], rows: list, labels: np.ndarray, rank: int = RA
                 break
         return w, v, float(b)
 
-    epochs = max(8, -(-steps * 128 // len(held)))
+    epochs = max(8, -(-steps * 128 // len(labels)))
     own = z * z
     w1, _, b1 = descend(w.copy(), v, start, rates(own), -(-epochs // 4), False)
-    p = sigmoid(b1 + np.bincount(row, w1[flat], len(held)))
+    p = sigmoid(b1 + np.array([w1[flat[cuts[i] : cuts[i + 1]]].sum(dtype=float) for i in everything]))
     linked = pair_evidence(n, flat, cuts, labels, p, np.flatnonzero(np.abs(z) >= PARTNER_Z))
     w, v, b = descend(w, v, start, rates(np.maximum(own, linked)), epochs, True)
     return Machine(place, b, w, v)
@@ -197,14 +214,16 @@ def train_toxicity(
             held = [np.array(sorted({t for w in words_of(x) for t in hashed_terms(w)}), dtype="<i4").tobytes() for x in batch.column("_t").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("_y"), pa.array(held, pa.binary())], ["y", "terms"])
 
-    sample = sorted((r["y"], bytes(r["terms"])) for r in pairs.mapInArrow(expand, "y int, terms binary").collect())
-    held = [np.frombuffer(t, dtype="<i4") for _, t in sample]
+    rows = pairs.mapInArrow(expand, "y int, terms binary").toArrow()
+    y, rows = rows.column("y").to_pylist(), rows.column("terms").to_pylist()
+    order = sorted(range(len(y)), key=lambda i: (y[i], rows[i]))
     place = np.full(1 << HASH_BITS, -1, dtype=np.int32)
-    for r in held:
-        place[r] = 0
+    for r in rows:
+        place[np.frombuffer(r, dtype="<i4")] = 0
     terms = np.flatnonzero(place == 0)
     place[terms] = np.arange(len(terms))
-    return fit_machine(terms.tolist(), [place[r] for r in held], np.array([y for y, _ in sample], dtype=float))
+    rows = [place[np.frombuffer(rows[i], dtype="<i4")] for i in order]
+    return fit_machine(terms.tolist(), rows, np.array([y[i] for i in order], dtype=float))
 
 
 def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
