@@ -2,9 +2,33 @@
 
 from __future__ import annotations
 
+from inkgrain.operators.boosting import SoftmaxTrees
 from inkgrain.operators.classifiers import BoostedTrees, CalibratedSvc, Forest, SoftVoting
 
-# Accepted parameter names and what they are called in Spark.
+# Accepted parameter names and what they are called here.
+BOOSTING_NAMES = {
+    "n_estimators": "rounds",
+    "learning_rate": "rate",
+    "max_depth": "depth",
+    "num_leaves": "num_leaves",
+    "min_child_samples": "min_rows",
+    "min_child_weight": "min_hessian",
+    "min_split_gain": "min_gain",
+    "gamma": "min_gain",
+    "reg_alpha": "l1",
+    "reg_lambda": "l2",
+    "subsample": "bag",
+    "subsample_freq": "bag_every",
+    "colsample_bytree": "columns",
+    "max_bin": "bins",
+    "random_state": "seed",
+}
+# Objectives by name; the first kind is one joint log loss, the second a model per class.
+JOINT = ("multiclass", "softmax", "multi:softprob", "multi:softmax")
+PER_CLASS = ("multiclassova", "ova")
+# Settings that say how to run or report, not what to fit.
+NO_EFFECT = ("boosting_type", "class_weight", "eval_metric", "metric", "n_jobs", "num_class", "verbosity")
+# The same for one-vs-rest trees, which are Spark's own.
 GBT_NAMES = {
     "n_estimators": "maxIter",
     "learning_rate": "stepSize",
@@ -31,10 +55,14 @@ GBT_DEFAULTS = {
     "n_estimators": 300,
     "learning_rate": 0.05,
     "max_depth": 4,
+    "num_leaves": 15,
     "min_child_samples": 40,
     "min_split_gain": 0.1,
+    "reg_alpha": 0.5,
+    "reg_lambda": 5.0,
     "colsample_bytree": 0.6,
     "subsample": 0.7,
+    "subsample_freq": 5,
     "random_state": 42,
 }
 PLAIN_GBT_DEFAULTS = {
@@ -43,9 +71,31 @@ PLAIN_GBT_DEFAULTS = {
     "max_depth": 4,
     "min_child_weight": 30,
     "gamma": 0.5,
+    "reg_alpha": 1.0,
+    "reg_lambda": 5.0,
     "colsample_bytree": 0.6,
     "subsample": 0.7,
+    "subsample_freq": 1,
+    "random_state": 42,
+}
+# Settings of the pipeline that is built without a search.
+PIPELINE_GBT = {
+    "objective": "multiclass",
+    "class_weight": "balanced",
+    "metric": "multi_logloss",
+    "n_estimators": 400,
+    "boosting_type": "gbdt",
     "random_state": 42,
+    "learning_rate": 0.05,
+    "num_leaves": 63,
+    "max_depth": 6,
+    "min_child_samples": 20,
+    "reg_alpha": 0.1,
+    "reg_lambda": 2.0,
+    "min_split_gain": 0.01,
+    "colsample_bytree": 0.6,
+    "subsample": 0.8,
+    "subsample_freq": 5,
 }
 FOREST_DEFAULTS = {"n_estimators": 100, "max_depth": 30, "max_features": "sqrt", "random_state": 42}
 SVC_DEFAULTS = {"C": 1.0, "max_iter": 5000, "random_state": 42}
@@ -63,13 +113,25 @@ def translate(params: dict, names: dict, model: str) -> dict:
     return out
 
 
+def boosted(params: dict, defaults: dict, model: str, balanced: bool):
+    """Joint softmax trees, or Spark's own trees per class, which know fewer settings."""
+    params = {k: v for k, v in params.items() if k not in NO_EFFECT}
+    objective = params.pop("objective", JOINT[0])
+    if objective in JOINT:
+        return SoftmaxTrees(translate({**defaults, **params}, BOOSTING_NAMES, model), balanced=balanced)
+    if objective not in PER_CLASS:
+        raise ValueError(f"{model} has no objective {objective!r}; known are {', '.join(JOINT + PER_CLASS)}")
+    known = {k: v for k, v in defaults.items() if k in GBT_NAMES}
+    return BoostedTrees(translate({**known, **params}, GBT_NAMES, model), balanced=balanced)
+
+
 def gbt(params: dict):
-    return BoostedTrees(translate({**GBT_DEFAULTS, **params}, GBT_NAMES, "gbt"))
+    return boosted(params, GBT_DEFAULTS, "gbt", balanced=params.get("class_weight", "balanced") == "balanced")
 
 
 def gbt_plain(params: dict):
     """The second boosted preset: no class weights."""
-    return BoostedTrees(translate({**PLAIN_GBT_DEFAULTS, **params}, GBT_NAMES, "gbt_plain"), balanced=False)
+    return boosted(params, PLAIN_GBT_DEFAULTS, "gbt_plain", balanced=False)
 
 
 def random_forest(params: dict):

@@ -14,13 +14,16 @@ from inkgrain.operators.splits import stratified_folds
 from inkgrain.plans.evaluate import cross_validate, static_features
 from inkgrain.plans.registry import ALIASES, MODELS
 
-# Ranges to draw from. Ranges of settings that Spark's trees lack are left out.
+# Ranges to draw from.
 SPACES = {
     "gbt": {
         "n_estimators": ("int", 100, 500, 50),
         "learning_rate": ("log", 0.01, 0.10),
         "max_depth": ("int", 3, 5, 1),
+        "num_leaves": ("int", 10, 20, 1),
         "min_child_samples": ("int", 20, 60, 1),
+        "reg_alpha": ("uniform", 0.1, 1.0),
+        "reg_lambda": ("uniform", 1.0, 10.0),
         "min_split_gain": ("uniform", 0.05, 0.5),
         "colsample_bytree": ("uniform", 0.4, 0.8),
         "subsample": ("uniform", 0.5, 0.8),
@@ -42,6 +45,8 @@ SPACES = {
         "min_child_weight": ("int", 10, 50, 1),
         "subsample": ("uniform", 0.5, 0.8),
         "colsample_bytree": ("uniform", 0.4, 0.8),
+        "reg_alpha": ("uniform", 0.1, 5.0),
+        "reg_lambda": ("uniform", 1.0, 10.0),
         "gamma": ("uniform", 0.1, 2.0),
     },
     "ensemble": {},

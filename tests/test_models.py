@@ -36,7 +36,8 @@ def points(spark):
 
 PRESETS = [
     ("gbt", {"n_estimators": 4, "max_depth": 2, "min_child_samples": 2, "learning_rate": 0.3}),
-    ("gbt_plain", {"n_estimators": 4, "max_depth": 2, "min_child_weight": 2, "learning_rate": 0.3}),
+    ("gbt", {"objective": "ova", "n_estimators": 4, "max_depth": 2, "min_child_samples": 2, "learning_rate": 0.3}),
+    ("gbt_plain", {"n_estimators": 4, "max_depth": 2, "min_child_weight": 0.5, "learning_rate": 0.3}),
     ("random_forest", {"n_estimators": 8, "max_depth": 4}),
     ("linear_svc", {"estimator__C": 1.0, "max_iter": 15}),
     ("ensemble", {"n_estimators": 2}),
@@ -79,7 +80,7 @@ def test_model_errors(points):
     with pytest.raises(ValueError, match="unknown model"):
         make_classifier("nope")
     with pytest.raises(ValueError, match="num_leaves"):
-        make_classifier("lgbm", {"num_leaves": 15})
+        make_classifier("lgbm", {"objective": "ova", "num_leaves": 15})
     with pytest.raises(ValueError, match="hinge"):
         make_classifier("linear_svc", {"loss": "squared_hinge"})
     with pytest.raises(ValueError, match="fixed"):
