@@ -37,7 +37,7 @@ def points(spark):
 PRESETS = [
     ("gbt", {"n_estimators": 4, "max_depth": 2, "min_child_samples": 2, "learning_rate": 0.3}),
     ("gbt", {"objective": "ova", "n_estimators": 4, "max_depth": 2, "min_child_samples": 2, "learning_rate": 0.3}),
-    ("gbt_plain", {"n_estimators": 4, "max_depth": 2, "min_child_weight": 0.5, "learning_rate": 0.3}),
+    ("gbt_plain", {"n_estimators": 6, "max_depth": 2, "min_child_weight": 0.5, "learning_rate": 0.5, "reg_alpha": 0, "reg_lambda": 1, "subsample": 1, "colsample_bytree": 1}),
     ("random_forest", {"n_estimators": 8, "max_depth": 4}),
     ("linear_svc", {"estimator__C": 1.0, "max_iter": 15}),
     ("ensemble", {"n_estimators": 2}),
