@@ -109,6 +109,13 @@ def fitted_nodes(model, features: list[int]) -> Node:
     return walk(model._java_obj.rootNode())
 
 
+def leaf_of(node: Node, values: Column) -> Column:
+    """The leaf that a row with these feature values reaches."""
+    if node.left is None:
+        return F.lit(node.leaf)
+    return F.when(F.get(values, F.lit(node.feature)) <= F.lit(float(node.threshold)), leaf_of(node.left, values)).otherwise(leaf_of(node.right, values))
+
+
 def with_sums(node: Node, sums: dict[int, tuple[float, float]]) -> Node:
     """Fill in the sums of all nodes from those of the leaves."""
     if node.left is None:
@@ -234,20 +241,22 @@ class SoftmaxTrees(_Classifier):
             with ThreadPoolExecutor(max(1, self.parallelism)) as pool:
                 models = list(pool.map(fit, range(k)))
             roots = [fitted_nodes(m, p) for m, p in zip(models, picks)]
-            placed = self._leaves(bag, models, picks).select(F.posexplode("leaves").alias("class", "leaf"), "gh")
+            reached = F.array(*[leaf_of(root, F.col("v")) for root in roots])
+            now = now.withColumn("v", vector_to_array("x")).withColumn("leaves", reached)
+            placed = now.where("bagged").select(F.posexplode("leaves").alias("class", "leaf"), "gh")
             placed = placed.select("class", "leaf", F.element_at("gh", F.col("class") + 1).alias("e")).select("class", "leaf", "e.g", "e.h")
             sums = [{} for _ in range(k)]
             for r in leaf_table(placed, ["class", "leaf"], s["l1"], s["l2"]).collect():
-                sums[r["class"]][int(r["leaf"])] = (r["g"], r["h"])
+                sums[r["class"]][r["leaf"]] = (r["g"], r["h"])
             values = []
             for c, root in enumerate(roots):
                 with_sums(root, sums[c])
                 cut = node_rows(root, best_first(root, s["num_leaves"], s["l1"], s["l2"], s["min_gain"]), s["l1"], s["l2"], s["rate"])
                 trees += [(number, c, *row) for row in cut]
                 values.append(leaf_values(root, cut))
-            steps = [F.element_at(F.array(*[F.lit(v) for v in values[c]]), F.col("leaves")[c].cast("int") + 1) for c in range(k)]
+            steps = [F.element_at(F.array(*[F.lit(v) for v in values[c]]), F.col("leaves")[c] + 1) for c in range(k)]
             moved = F.array(*[F.col("s")[c] + steps[c] for c in range(k)])
-            now = self._leaves(now, models, picks).select("id", "y", "w", "x", moved.alias("s"))
+            now = now.select("id", "y", "w", "x", moved.alias("s"))
         if held is not None:
             held.unpersist()
         table = write_table(rows.sparkSession.createDataFrame(trees, TREE_SCHEMA).coalesce(1), "trees")
@@ -259,13 +268,10 @@ class SoftmaxTrees(_Classifier):
         return sorted(random.Random(f"{s['seed']}-{number}-{c}").sample(range(width), n)) if n < width else list(range(width))
 
     @staticmethod
-    def _sliced(rows: DataFrame, pick: list[int], out: str) -> DataFrame:
-        return VectorSlicer(inputCol="x", outputCol=out, indices=pick).transform(rows)
-
-    def _tree(self, bag: DataFrame, c: int, pick: list[int], hessian: float, s: dict):
+    def _tree(bag: DataFrame, c: int, pick: list[int], hessian: float, s: dict):
         e = F.col("gh")[c]
         rows = bag.select("x", (-e["g"] / e["h"]).alias("step"), e["h"].alias("h"))
-        rows = self._sliced(rows, pick, "slice").select("slice", "step", "h")
+        rows = VectorSlicer(inputCol="x", outputCol="slice", indices=pick).transform(rows).select("slice", "step", "h")
         share = s["min_hessian"] / hessian if hessian else 0.0
         depth = s["depth"] if share < 0.5 else 0  # no split leaves enough on both sides
         return DecisionTreeRegressor(
@@ -273,16 +279,6 @@ class SoftmaxTrees(_Classifier):
             minWeightFractionPerNode=min(share, 0.499), maxBins=s["bins"], seed=s["seed"], minInfoGain=0.0,
         ).fit(rows)
 
-    def _leaves(self, rows: DataFrame, models, picks) -> DataFrame:
-        """Append ``leaves``: the leaf of each class's tree, by position."""
-        kept = rows.columns
-        names = []
-        for c, (model, pick) in enumerate(zip(models, picks)):
-            rows = self._sliced(rows, pick, f"__x{c}")
-            rows = model.copy().setFeaturesCol(f"__x{c}").setPredictionCol("").setLeafCol(f"__l{c}").transform(rows).drop(f"__x{c}")
-            names.append(f"__l{c}")
-        return rows.select(*kept, F.array(*names).alias("leaves"))
-
 
 #: Settings that apply unless others are given.
 SETTINGS = {

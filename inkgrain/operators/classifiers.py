@@ -26,6 +26,7 @@ from pyspark.storagelevel import StorageLevel
 
 from inkgrain.functions.probability import argmax_label, normalise, soft_vote
 from inkgrain.operators.blocks import class_counts
+from inkgrain.operators.hinge import fit_planes, spark_planes
 from inkgrain.operators.params import NestedStage
 from inkgrain.operators.splits import stratified_folds
 from inkgrain.operators.store import write_table
@@ -186,6 +187,8 @@ def margins(rows: DataFrame, models, features: str) -> DataFrame:
 class CalibratedSvc(_Classifier):
     """Linear one-vs-rest support vectors with sigmoid calibration on held-out folds.
 
+    The loss is ``squared_hinge`` (all classes in the same passes) or ``hinge`` (Spark's own, one fit a class).
+
     Per fold, planes are fitted on the other folds and one sigmoid per label on the margins
     of the fold. The prediction is the mean over the folds.
     """
@@ -199,6 +202,7 @@ class CalibratedSvc(_Classifier):
         settings = dict(self.settings)
         cost = settings.pop("C", 1.0)
         seed = settings.pop("seed", 42)
+        squared = settings.pop("loss", "squared_hinge") == "squared_hinge"
         dealt = write_table(stratified_folds(rows, "y", "id", self.folds, seed), "folds")
         dealt = arranged(dealt, "id", "x", sum(counts.values()))
         weights = {r["fold"]: r["w"] for r in dealt.groupBy("fold").agg(F.sum("w").alias("w")).collect()}
@@ -207,9 +211,13 @@ class CalibratedSvc(_Classifier):
         for fold in range(self.folds):
             train = dealt.where(F.col("fold") != fold)
             total = sum(w for f, w in weights.items() if f != fold)
-            # C weighs the summed loss, regParam the mean loss.
-            svc = LinearSVC(featuresCol="x", labelCol="y", weightCol="w", regParam=1.0 / (cost * total), **settings)
-            planes = one_vs_rest(svc, train, self.parallelism)
+            if squared:
+                found = fit_planes(train, len(labels), cost, settings.get("tol", 1e-4), settings.get("maxIter", 1000))
+                planes = spark_planes(rows.sparkSession, found)
+            else:
+                # C weighs the summed loss, regParam the mean loss.
+                svc = LinearSVC(featuresCol="x", labelCol="y", weightCol="w", regParam=1.0 / (cost * total), **settings)
+                planes = one_vs_rest(svc, train, self.parallelism)
             held = margins(dealt.where(F.col("fold") == fold), planes, "x")
             held = held.select("y", *[f"__m{i}" for i in range(len(labels))]).persist(StorageLevel.MEMORY_AND_DISK)
             n = sum(c for (f, _), c in sizes.items() if f == fold)

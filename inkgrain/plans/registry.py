@@ -48,7 +48,7 @@ FOREST_NAMES = {
     "max_features": "featureSubsetStrategy",
     "random_state": "seed",
 }
-SVC_NAMES = {"C": "C", "tol": "tol", "max_iter": "maxIter", "random_state": "seed"}
+SVC_NAMES = {"C": "C", "loss": "loss", "tol": "tol", "max_iter": "maxIter", "random_state": "seed"}
 
 # Settings used unless others are given.
 GBT_DEFAULTS = {
@@ -98,7 +98,9 @@ PIPELINE_GBT = {
     "subsample_freq": 5,
 }
 FOREST_DEFAULTS = {"n_estimators": 100, "max_depth": 30, "max_features": "sqrt", "random_state": 42}
-SVC_DEFAULTS = {"C": 1.0, "max_iter": 5000, "random_state": 42}
+SVC_DEFAULTS = {"C": 1.0, "loss": "squared_hinge", "max_iter": 5000, "random_state": 42}
+#: Losses that the planes know.
+SVC_LOSSES = ("hinge", "squared_hinge")
 ENSEMBLE_SVC = {"C": 0.1}
 
 
@@ -140,10 +142,10 @@ def random_forest(params: dict):
 
 def linear_svc(params: dict):
     plain = {k.removeprefix("estimator__"): v for k, v in params.items()}
-    loss = plain.pop("loss", "hinge")
-    if loss != "hinge":
-        raise ValueError(f"linear_svc knows the hinge loss only, not {loss!r}")
-    return CalibratedSvc(translate({**SVC_DEFAULTS, **plain}, SVC_NAMES, "linear_svc"))
+    settings = translate({**SVC_DEFAULTS, **plain}, SVC_NAMES, "linear_svc")
+    if settings["loss"] not in SVC_LOSSES:
+        raise ValueError(f"linear_svc knows no loss {settings['loss']!r}; known are {', '.join(SVC_LOSSES)}")
+    return CalibratedSvc(settings)
 
 
 def ensemble(params: dict):

@@ -36,6 +36,7 @@ SPACES = {
     },
     "linear_svc": {
         "estimator__C": ("log", 1e-3, 2.0),
+        "estimator__loss": ("choice", ["hinge", "squared_hinge"]),
         "estimator__tol": ("log", 1e-6, 1e-3),
     },
     "gbt_plain": {

@@ -39,7 +39,8 @@ PRESETS = [
     ("gbt", {"objective": "ova", "n_estimators": 4, "max_depth": 2, "min_child_samples": 2, "learning_rate": 0.3}),
     ("gbt_plain", {"n_estimators": 6, "max_depth": 2, "min_child_weight": 0.5, "learning_rate": 0.5, "reg_alpha": 0, "reg_lambda": 1, "subsample": 1, "colsample_bytree": 1}),
     ("random_forest", {"n_estimators": 8, "max_depth": 4}),
-    ("linear_svc", {"estimator__C": 1.0, "max_iter": 15}),
+    ("linear_svc", {"estimator__C": 1.0, "estimator__loss": "hinge", "max_iter": 15}),
+    ("linear_svc", {"estimator__C": 1.0, "estimator__tol": 1e-3}),
     ("ensemble", {"n_estimators": 2}),
 ]
 
@@ -82,7 +83,7 @@ def test_model_errors(points):
     with pytest.raises(ValueError, match="num_leaves"):
         make_classifier("lgbm", {"objective": "ova", "num_leaves": 15})
     with pytest.raises(ValueError, match="hinge"):
-        make_classifier("linear_svc", {"loss": "squared_hinge"})
+        make_classifier("linear_svc", {"loss": "log"})
     with pytest.raises(ValueError, match="fixed"):
         make_classifier("ensemble", {"max_depth": 2})
     with pytest.raises(ValueError, match="two are needed"):
