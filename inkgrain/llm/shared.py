@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 ROW_GROUP_BYTES = 32 << 20
 
 _own = {}
+#: Paths of the tables written inside each open :func:`collected`.
+_collecting: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,10 +41,34 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """``df`` as a Parquet table in the shared folder: it cuts lineage and survives lost executors."""
     path = f"{shared_folder(df.sparkSession)}/inkgrain-llm/{uuid.uuid4().hex}/{name}"
+    for paths in _collecting:
+        paths.append(path)
     df.write.option("compression", codec).option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def collected():
+    """The list of all tables that :func:`written` makes inside."""
+    paths: list[str] = []
+    _collecting.append(paths)
+    try:
+        yield paths
+    finally:
+        _collecting.remove(paths)
+
+
+def drop_unread(paths: list[str], reader: DataFrame) -> list[str]:
+    """Delete the tables that ``reader`` does not read; returns those that stay."""
+    files = reader.inputFiles()
+    stay = [p for p in paths if any(p.split("/inkgrain-llm/")[-1] in f for f in files)]
+    sc = reader.sparkSession.sparkContext
+    for path in set(paths) - set(stay):
+        place = sc._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
+    return stay
+
+
 def ship(spark: SparkSession) -> None:
     """Send the package to the Python workers, so that they need no copy of the repository."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")  # texts can be long

@@ -24,6 +24,10 @@ LEAST_RATE = 1e-3
 #: Terms of at least this association are partners whose pairs with all other terms are looked at.
 PARTNER_Z = 2.0
 STEPS = 4_000
+#: One row in so many is held out to tell when to stop; a fit ends when its loss has not fallen by this share for so many steps.
+HELD = 10
+LEAST_FALL = 5e-3
+PATIENCE = 100
 RANK = 8
 CACHE_WORDS = 200_000
 
@@ -141,46 +145,77 @@ def fit_machine(terms: list[int], rows: list, labels: np.ndarray, rank: int = RA
     z = (said - seen * share) / np.sqrt(seen * share * (1 - share))
     spot = np.zeros(n, dtype=np.int32)
 
+    def deal(rows):
+        """Sort a batch by term once: its rows and labels, the row of each sorted place, its terms and where each begins, and per row the term places."""
+        idx = np.concatenate([flat[cuts[i] : cuts[i + 1]] for i in rows])
+        sizes = cuts[rows + 1] - cuts[rows]
+        by_term = np.argsort(idx, kind="stable")
+        first = np.flatnonzero(np.diff(idx[by_term], prepend=-1))
+        u = idx[by_term[first]]
+        spot[u] = np.arange(len(u))
+        return labels[rows], sizes, np.repeat(np.arange(len(rows), dtype=np.int16), sizes)[by_term], u, first.astype(np.int32), spot[idx]
+
+    def logits(batch, w, v, b, pairs):
+        _, sizes, _, u, _, at = batch
+        some, starts = sizes > 0, (np.cumsum(sizes) - sizes)[sizes > 0]
+        total = np.zeros((len(sizes), rank + 2 if pairs else 1), dtype=np.float32)
+        if pairs:
+            vu = v[u]
+            held = np.column_stack([vu, (vu * vu).sum(axis=1), w[u]])
+        else:
+            held = w[u][:, None]
+        total[some] = np.add.reduceat(held[at], starts, axis=0)
+        z = b + total[:, -1].astype(float)
+        return (z + 0.5 * ((total[:, :rank] ** 2).sum(axis=1) - total[:, rank]), total[:, :rank], vu) if pairs else (z, None, None)
+
+    def held_loss(w, v, b, pairs):
+        total = 0.0
+        for batch in held:
+            z = np.clip(logits(batch, w, v, b, pairs)[0], -35, 35)
+            total += float((np.logaddexp(0, z) - batch[0] * z).sum())
+        return total
+
     def descend(w, v, b, rate, epochs, pairs):
+        """Adaptive steps over the batches, until the loss of the held-out rows has not fallen for ``PATIENCE`` steps. A last round from the
+        best state takes in the held-out rows, so that their terms learn as well."""
         gw, gv, gb = np.full(n, 1e-2, dtype=np.float32), np.full((n, rank), 1e-2, dtype=np.float32), 1e-2
-        for _ in range(epochs):
-            order, worst = rng.permutation(len(labels)), 0.0
-            for at in range(0, len(order), 128):
-                batch = order[at : at + 128]
-                idx = np.concatenate([flat[cuts[i] : cuts[i + 1]] for i in batch])
-                sizes = cuts[batch + 1] - cuts[batch]
-                by_term = np.argsort(idx)
-                first = np.flatnonzero(np.diff(idx[by_term], prepend=-1))
-                u = idx[by_term[first]]
-                spot[u] = np.arange(len(u))
-                r = np.repeat(np.arange(len(batch)), sizes)
-                z = b + np.bincount(r, w[idx], len(batch))
+        best, since = (held_loss(w, v, b, pairs), w.copy(), v.copy(), b), 0
+        for left in range(epochs, -1, -1):
+            if not left or since >= PATIENCE:
+                _, w, v, b = best
+                left = 0
+            for k in rng.permutation(len(batches) + (len(held) if not left else 0)):
+                batch = batches[k] if k < len(batches) else held[k - len(batches)]
+                y, sizes, r, u, first, _ = batch
+                z, sums, vu = logits(batch, w, v, b, pairs)
+                miss = sigmoid(z) - y
+                each = (miss / len(y)).astype(np.float32)
                 if pairs:
-                    vu = v[u]
-                    sums, some = np.zeros((len(batch), rank + 1), dtype=np.float32), sizes > 0
-                    sums[some] = np.add.reduceat(np.column_stack([vu, (vu * vu).sum(axis=1)])[spot[idx]], (np.cumsum(sizes) - sizes)[some], axis=0)
-                    z += 0.5 * ((sums[:, :rank] ** 2).sum(axis=1) - sums[:, rank])
-                miss = sigmoid(z) - labels[batch]
-                worst = max(worst, np.abs(miss).max())
-                each = (miss / len(batch)).astype(np.float32)
-                if pairs:
-                    pull = np.add.reduceat(np.column_stack([sums[:, :rank] * each[:, None], each])[r[by_term]], first, axis=0)
+                    pull = np.add.reduceat(np.column_stack([sums * each[:, None], each])[r], first, axis=0)
                     d_v = pull[:, :rank] + (np.float32(1e-5) - pull[:, rank:]) * vu
                     g = gv[u] + d_v * d_v
                     gv[u] = g
-                    v[u] = vu - 0.02 * rate[u, None] * d_v / np.sqrt(g)
-                d_w = (pull[:, rank] if pairs else np.add.reduceat(each[r[by_term]], first)) + np.float32(1e-5) * w[u]
+                    v[u] = vu - 0.05 * rate[u, None] * d_v / np.sqrt(g)
+                d_w = (pull[:, rank] if pairs else np.add.reduceat(each[r], first)) + np.float32(1e-5) * w[u]
                 g = gw[u] + d_w * d_w
                 gw[u] = g
-                w[u] -= 0.2 * rate[u] * d_w / np.sqrt(g)
+                w[u] -= 0.5 * rate[u] * d_w / np.sqrt(g)
                 d_b = miss.mean()
                 gb += d_b * d_b
-                b -= 0.2 * d_b / np.sqrt(gb)
-            if worst < 0.02:  # nothing is left to learn
-                break
-        return w, v, float(b)
-
-    epochs = max(8, -(-steps * 128 // len(labels)))
+                b -= 0.5 * d_b / np.sqrt(gb)
+            if not left:
+                return w, v, float(b)
+            loss = held_loss(w, v, b, pairs)
+            if loss < best[0] * (1 - LEAST_FALL):
+                best, since = (loss, w.copy(), v.copy(), float(b)), 0
+            else:
+                since += len(batches)
+
+    order = rng.permutation(len(labels))
+    n_held = len(labels) // HELD
+    parts = lambda rows: [deal(rows[at : at + 128]) for at in range(0, len(rows), 128)]
+    held, batches = parts(order[:n_held]), parts(order[n_held:])
+    epochs = max(8, -(-steps // len(batches)))
     own = z * z
     w1, _, b1 = descend(w.copy(), v, start, rates(own), -(-epochs // 4), False)
     p = sigmoid(b1 + np.array([w1[flat[cuts[i] : cuts[i + 1]]].sum(dtype=float) for i in everything]))

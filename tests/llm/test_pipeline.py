@@ -88,3 +88,17 @@ def test_registered(spark):
     for n in range(1, 11):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert {"op3_exact_dedup", "op4_url_rules"} <= set(entry.oracle_sql())
+
+
+def test_working_tables_of_earlier_stages_are_deleted(spark):
+    import os
+
+    from inkgrain.llm.shared import collected, drop_unread, written
+
+    with collected() as paths:
+        first = written(spark.range(5), "first")
+        second = written(spark.range(7), "second")
+    places = [p.removeprefix("file://") for p in paths]
+    assert len(paths) == 2 and all(map(os.path.exists, places))
+    assert drop_unread(paths, second.join(spark.range(3), "id")) == paths[1:]
+    assert not os.path.exists(places[0]) and second.count() == 7 and first.schema == second.schema
