@@ -85,17 +85,21 @@ class TfidfSelector(Estimator, _SelectorParams, DefaultParamsReadable, DefaultPa
 
     def _fit(self, dataset: DataFrame) -> "TfidfSelectorModel":
         id_col, text_col, label_col = (self.value(n) for n in ("idCol", "textCol", "labelCol"))
-        terms, min_df = self.terms(), self.value("minDf")
+        terms = self.terms()
         counts = class_counts(dataset, label_col)
+        frequencies = doc_frequency(dataset, id_col, text_col, terms, self.value("minDf"))
+        return self.fit_counts(frequencies, term_counts(dataset, id_col, text_col, terms, keep=[label_col]), counts)
+
+    def fit_counts(self, frequencies: DataFrame, rows: DataFrame, counts: dict) -> "TfidfSelectorModel":
+        """Fit on terms that are counted already: ``(term, df)``, ``(id, label, term, tf)`` and the rows of each class."""
+        id_col, label_col = self.value("idCol"), self.value("labelCol")
         if not counts:
             raise ValueError("no rows to fit on")
         n_docs = sum(counts.values())
-        frequencies = doc_frequency(dataset, id_col, text_col, terms, min_df)
         vocabulary = write_table(smooth_idf(frequencies, n_docs), "vocabulary")
         size = table_bytes(vocabulary, "term")
         if not size:
-            raise ValueError(f"no term is in {min_df} or more texts")
-        rows = term_counts(dataset, id_col, text_col, terms, keep=[label_col])
+            raise ValueError(f"no term is in {self.value('minDf')} or more texts")
         weights = tfidf_weights(rows, vocabulary, id_col, self.limits, size)
         top = impchi.top_terms(impchi.chi2_scores(weights, counts, label_col), self.value("kPerLabel"))
         name = impchi.char_feature_name if self.value("analyzer") == "char" else impchi.word_feature_name
@@ -119,11 +123,12 @@ class TfidfSelectorModel(Model, _SelectorParams, TableModel):
         return list(self.names)
 
     def features(self, rows: DataFrame) -> DataFrame:
+        return self.features_of(term_counts(rows, self.value("idCol"), self.value("textCol"), self.terms()))
+
+    def features_of(self, counts: DataFrame) -> DataFrame:
+        """The features of texts whose terms are counted already."""
         id_col = self.value("idCol")
-        counts = term_counts(rows, id_col, self.value("textCol"), self.terms())
-        return impchi.feature_arrays(
-            counts, self.vocabulary, self.selected, id_col, len(self.names), self.limits, self.size
-        )
+        return impchi.feature_arrays(counts, self.vocabulary, self.selected, id_col, len(self.names), self.limits, self.size)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return self._append(dataset, self.features(dataset))

@@ -88,8 +88,17 @@ def feature_arrays(
     rows = lookup_join(counts, known, "term", limits, size, "df" if "df" in known.columns else None).select(id_col, "idx", weight.alias("__w"))
     slots = rows.groupBy(id_col, "idx").agg(F.sum("__w").alias("__w"), F.sum(F.col("__w") * F.col("__w")).alias("__sq"))
     entry = F.when(F.col("idx").isNotNull(), F.struct("idx", "__w"))
-    found = slots.groupBy(id_col).agg(F.collect_list(entry).alias("__found"), F.sqrt(F.sum("__sq")).alias("__norm"))
-    at = found.select(id_col, "__norm", F.map_from_entries("__found").alias("__at"))
-    positions = F.sequence(F.lit(0), F.lit(width - 1))
-    value = lambda i: F.coalesce(F.element_at("__at", i) / F.col("__norm"), F.lit(0.0))
-    return at.select(id_col, F.transform(positions, value).alias("features"))
+    found = slots.groupBy(id_col).agg(F.sort_array(F.collect_list(entry)).alias("__found"), F.sqrt(F.sum("__sq")).alias("__norm"))
+    return found.select(id_col, dense(F.col("__found"), F.col("__norm"), width).alias("features"))
+
+
+def dense(entries, norm, width: int):
+    """Array of ``width`` values from entries ``(idx, __w)`` in the order of ``idx``: each comes after as many zeros as its gap is wide."""
+    zero = F.lit(0.0)
+
+    def filled(entry, i):
+        gap = entry["idx"] - F.coalesce(F.get(entries, i - 1)["idx"], F.lit(-1)) - 1
+        return F.concat(F.array_repeat(zero, gap), F.array(F.coalesce(entry["__w"] / norm, zero)))
+
+    last = F.coalesce(F.get(entries, F.size(entries) - 1)["idx"], F.lit(-1))
+    return F.concat(F.flatten(F.transform(entries, filled)), F.array_repeat(zero, F.lit(width - 1) - last))

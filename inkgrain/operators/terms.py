@@ -102,6 +102,29 @@ def term_counts(texts: DataFrame, id_col: str, text_col: str, terms, keep=()) ->
     return terms.counted(by_id(slim, id_col), text_col)
 
 
+def nested_counts(texts: DataFrame, id_col: str, text_col: str, terms, keep=()) -> DataFrame:
+    """``(id, *keep, terms)``: one row a text with an array of its ``(term, tf)``. A table to write once and use in many fits."""
+    counts = term_counts(texts, id_col, text_col, terms, keep)
+    entry = F.when(F.col("term").isNotNull(), F.struct("term", "tf"))
+    return counts.groupBy(id_col, *keep).agg(F.collect_list(entry).alias("terms"))
+
+
+def unnested(nested: DataFrame, id_col: str, keep=()) -> DataFrame:
+    """What :func:`term_counts` gives, from the nested table: rows are dealt by id before they expand, so per-text work needs no other shuffle."""
+    return by_id(nested, id_col).select(id_col, *keep, F.inline_outer("terms"))
+
+
+def group_frequency(nested: DataFrame, group_col: str) -> DataFrame:
+    """``(term, group, n)``: in how many texts of each group a term is. Groups that are left out later need no new count."""
+    return nested.select(group_col, F.inline("terms")).groupBy("term", group_col).agg(F.count("*").alias("n"))
+
+
+def frequency_without(per_group: DataFrame, group_col: str, group, min_df: int) -> DataFrame:
+    """``(term, df)`` over all groups but one."""
+    rest = per_group.where(F.col(group_col) != group).groupBy("term").agg(F.sum("n").alias("df"))
+    return rest.where(F.col("df") >= min_df)
+
+
 def doc_frequency(texts: DataFrame, id_col: str, text_col: str, terms, min_df: int) -> DataFrame:
     """``(term, df)`` of the terms found in at least ``min_df`` texts."""
     slim = texts.select(id_col, text_col)

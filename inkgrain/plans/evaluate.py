@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkgrain.operators import metrics as mt
+from inkgrain.operators.rowid import require_unique
 from inkgrain.operators.splits import stratified_folds, stratified_split
 from inkgrain.operators.store import write_table
+from inkgrain.operators.terms import frequency_without, group_frequency, nested_counts, unnested
 from inkgrain.operators.union import TextFeaturesModel
 from inkgrain.plans.factory import build_pipeline
 
@@ -40,18 +44,75 @@ def static_features(rows: DataFrame, embedder, text_col: str, label_col: str, id
     return write_table(model.array(slim, "static"), "static"), model.get_feature_names_out()
 
 
+class CountedBlock:
+    """A term block of a cross-validation: the terms of all rows are counted once, and each fold takes them from the written table."""
+
+    def __init__(self, folds: DataFrame, block, label_col: str, id_col: str, text_col: str):
+        self.id_col, self.label_col = id_col, label_col
+        self.nested = write_table(nested_counts(folds, id_col, text_col, block.terms(), keep=[label_col, "fold"]), "terms")
+        self.frequencies = write_table(group_frequency(self.nested, "fold"), "frequencies")
+
+    def fit(self, block, fold: int, counts: dict):
+        """``block`` fitted without the fold: its document frequencies are those of the other folds."""
+        df = frequency_without(self.frequencies, "fold", fold, block.value("minDf"))
+        rows = unnested(self.nested.where(F.col("fold") != fold), self.id_col, [self.label_col])
+        return FittedCounts(block.fit_counts(df, rows, counts), self)
+
+
+class FittedCounts:
+    """A fitted term block over the counted table of a cross-validation."""
+
+    def __init__(self, model, counted: CountedBlock):
+        self.model, self.counted = model, counted
+
+    def get_feature_names_out(self):
+        return self.model.get_feature_names_out()
+
+    def features(self, rows: DataFrame) -> DataFrame:
+        return self.model.features_of(unnested(self.counted.nested, self.counted.id_col))
+
+
+def counted_block(shared: dict, folds: DataFrame, block, label_col: str, id_col: str, text_col: str) -> CountedBlock:
+    """The table of this kind of terms; ``shared`` keeps it for all trials over the same folds."""
+    names = ("analyzer", "ngramMin", "ngramMax", "stopWords")
+    key = json.dumps([block.value(n) for n in names])
+    if key not in shared:
+        shared[key] = CountedBlock(folds, block, label_col, id_col, text_col)
+    return shared[key]
+
+
 def cross_validate(
-    folds: DataFrame, static_names, text_col: str, label_col: str, id_col: str, k: int, settings: dict, metric="f1_macro", parallelism=1
+    folds: DataFrame, static_names, text_col: str, label_col: str, id_col: str, k: int, settings: dict, metric="f1_macro", parallelism=1, shared: dict | None = None
 ) -> DataFrame:
     """``(fold, score)``. ``folds`` has a ``fold`` and a ``static`` column; the term blocks and
-    the classifier are fitted anew without the fold, so nothing of it leaks into them."""
+    the classifier are fitted anew without the fold, so nothing of it leaks into them.
+
+    The texts expand into terms once for each kind of terms, not once a fold; ``shared`` (a dict of the caller) extends this to all calls
+    with the same ``folds``. One table of features a fold serves both its training and its scoring.
+    """
+    shared = {} if shared is None else shared
+    require_unique(folds, id_col)
+    features, classifier = build_pipeline(text_col, label_col, id_col, static_col="static", static_names=static_names, **settings).getStages()
+    blocks = [b.copy()._set(textCol=text_col, idCol=id_col, labelCol=label_col) for b in features.blocks]
+    counted = [counted_block(shared, folds, b, label_col, id_col, text_col) for b in blocks]
+    per_fold: dict = {}
+    for r in folds.groupBy("fold", label_col).agg(F.count("*").alias("n")).collect():  # folds x classes rows
+        if r[label_col] is None:
+            raise ValueError(f"{label_col} has nulls")
+        per_fold.setdefault(r["fold"], {})[r[label_col]] = r["n"]
 
     def one(fold: int) -> DataFrame:
-        pipeline = build_pipeline(
-            text_col, label_col, id_col, static_col="static", static_names=static_names, **settings
-        )
-        model = pipeline.fit(folds.where(F.col("fold") != fold))
-        scored = model.transform(folds.where(F.col("fold") == fold))
+        counts: dict = {}
+        for other, classes in per_fold.items():
+            for label, n in classes.items() if other != fold else ():
+                counts[label] = counts.get(label, 0) + n
+        fitted = [c.fit(b, fold, counts) for c, b in zip(counted, blocks)]
+        model = TextFeaturesModel(fitted, static_col="static", static_names=static_names)
+        model._set(textCol=text_col, idCol=id_col, labelCol=label_col)
+        rows = model.array(folds.select(id_col, text_col, label_col, "fold", "static"), "__features")
+        rows = rows.select(id_col, label_col, "fold", array_to_vector("__features").alias(features.value("outputCol")))
+        matrix = write_table(rows, "fold_features")
+        scored = classifier.copy().fit(matrix.where(F.col("fold") != fold)).transform(matrix.where(F.col("fold") == fold))
         return write_table(scored.select("fold", label_col, "prediction"), "fold")
 
     with ThreadPoolExecutor(max(1, parallelism)) as pool:

@@ -123,13 +123,14 @@ def search(
     dealt = stratified_folds(rows.select(id_col, text_col, label_col), label_col, id_col, k, seed)
     table, names = static_features(dealt, embedder, text_col, label_col, id_col, keep=["fold"])
     rng, started, done = random.Random(seed), time.monotonic(), []
+    shared: dict = {}  # term tables, by kind of terms: trials read them instead of the texts
     for trial in range(n_trials):
         if done and timeout_sec is not None and time.monotonic() - started > timeout_sec:
             break
         clf_params = draw(SPACES[model] if space is None else space, rng)
         feature_params = draw({**FEATURE_SPACE, **(feature_space or {})}, rng)
         settings = trial_settings(model, clf_params, feature_params)
-        scores = cross_validate(table, names, text_col, label_col, id_col, k, settings, metric, parallelism)
+        scores = cross_validate(table, names, text_col, label_col, id_col, k, settings, metric, parallelism, shared)
         mean = scores.agg(F.avg("score")).first()[0]
         done.append((trial, json.dumps({**clf_params, **feature_params}, sort_keys=True), float(mean), settings))
     trials = rows.sparkSession.createDataFrame([d[:3] for d in done], "trial_id int, params string, score double")

@@ -229,3 +229,43 @@ def test_job(spark, texts, vectors):
     assert sorted(r.id for r in written.collect()) == list(range(110, 150))
     assert result["macro_f1"].first()[0] > 0.6 and result["trials"].count() == 1
     assert sum(r.n for r in result["distribution"].collect()) == 40
+
+
+def test_folds_share_one_expansion_and_equal_separate_fits(texts, monkeypatch):
+    """Texts expand once for each kind of terms, whatever folds and trials; scores are those of pipelines fitted on the other folds."""
+    from inkgrain.operators import terms
+    from inkgrain.operators.splits import stratified_folds
+    from inkgrain.plans.evaluate import cross_validate, static_features
+
+    settings = {**FOREST, "word_params": {"k_per_label": 5}, "char_params": {"k_per_label": 5}}
+    dealt = stratified_folds(texts, "LABEL", "id", 2, 42)
+    table, names = static_features(dealt, None, "TEXT", "LABEL", "id", keep=["fold"])
+    want = {}
+    for fold in range(2):
+        pipeline = build_pipeline(static_col="static", static_names=names, **settings)
+        scored = pipeline.fit(table.where(F.col("fold") != fold)).transform(table.where(F.col("fold") == fold))
+        want[fold] = score_by(scored, "LABEL", "prediction", "f1_macro").first()[0]
+    calls = []
+    for kind in (terms.WordTerms, terms.CharTerms):
+        for name in ("counted", "distinct"):
+            real = getattr(kind, name)
+            monkeypatch.setattr(kind, name, lambda self, *a, real=real, name=name: calls.append((type(self).__name__, name)) or real(self, *a))
+    shared = {}
+    for _ in range(2):
+        scores = cross_validate(table, names, "TEXT", "LABEL", "id", 2, settings, shared=shared)
+        assert {r["fold"]: r["score"] for r in scores.collect()} == pytest.approx(want)
+    assert sorted(calls) == [("CharTerms", "counted"), ("WordTerms", "counted")]
+
+
+def test_frequencies_without_a_fold(texts):
+    from inkgrain.operators.splits import stratified_folds
+    from inkgrain.operators.terms import CharTerms, doc_frequency, frequency_without, group_frequency, nested_counts, term_counts, unnested
+
+    dealt = write_table(stratified_folds(texts, "LABEL", "id", 3, 1), "dealt")
+    kind = CharTerms(3, 4)
+    nested = write_table(nested_counts(dealt, "id", "TEXT", kind, keep=["fold"]), "nested")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(unnested(nested, "id")) == rows(term_counts(dealt, "id", "TEXT", kind))
+    per_fold = group_frequency(nested, "fold")
+    for fold in range(3):
+        assert rows(frequency_without(per_fold, "fold", fold, 2)) == rows(doc_frequency(dealt.where(F.col("fold") != fold), "id", "TEXT", kind, 2))
