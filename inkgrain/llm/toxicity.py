@@ -21,8 +21,9 @@ SAMPLE_ROWS = 20_000
 EVEN_Z = 4.5
 #: Least rate of a term: no term of the sample is left out.
 LEAST_RATE = 1e-3
-#: Terms of at least this association are partners whose pairs with all other terms are looked at.
-PARTNER_Z = 2.0
+#: Terms are partners, whose pairs with all other terms are looked at, if their association is as large as the largest one that so many terms
+#: without any would show by chance, times this.
+PARTNER_Z = 1.0
 STEPS = 4_000
 #: One row in so many is held out to tell when to stop; a fit ends when its loss has not fallen by this share for so many steps.
 HELD = 10
@@ -219,7 +220,7 @@ def fit_machine(terms: list[int], rows: list, labels: np.ndarray, rank: int = RA
     own = z * z
     w1, _, b1 = descend(w.copy(), v, start, rates(own), -(-epochs // 4), False)
     p = sigmoid(b1 + np.array([w1[flat[cuts[i] : cuts[i + 1]]].sum(dtype=float) for i in everything]))
-    linked = pair_evidence(n, flat, cuts, labels, p, np.flatnonzero(np.abs(z) >= PARTNER_Z))
+    linked = pair_evidence(n, flat, cuts, labels, p, np.flatnonzero(np.abs(z) >= PARTNER_Z * np.sqrt(2 * np.log(max(n, 2)))))
     w, v, b = descend(w, v, start, rates(np.maximum(own, linked)), epochs, True)
     return Machine(place, b, w, v)
 
