@@ -37,12 +37,27 @@ def encoder(path: str):
     return _encoders[path]
 
 
+def whole_library(path: str):
+    """The same vocabulary's .json, beside the ranks, in the tokenizers library."""
+    if path + ".json" not in _encoders:
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(path.removesuffix(".tiktoken") + ".json")
+        library.no_truncation()
+        library.no_padding()
+        _encoders[path + ".json"] = library
+    return _encoders[path + ".json"]
+
+
 def token_ids(text: str | None, path: str) -> np.ndarray:
     """Ids of a whole text; the special token's string in a text is that token, as in the tokenizers library."""
     enc = encoder(path)
     if not text:
         return np.empty(0, dtype=np.uint32)
-    return np.asarray(enc.encode_to_numpy(text, allowed_special="all"), dtype=np.uint32)
+    try:
+        return np.asarray(enc.encode_to_numpy(text, allowed_special="all"), dtype=np.uint32)
+    except (ValueError, RuntimeError):  # its pattern matcher gives up on very long runs of blanks
+        return np.asarray(whole_library(path).encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
 
 def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:

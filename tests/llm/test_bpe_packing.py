@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -56,6 +57,17 @@ def test_ids_equal_the_library(spark, sf):
         assert token_ids(text, RANKS).tolist() == want.ids
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "a" + "\n" * 1_000_000 + "b c", "x " + "\t " * 500_000])
+def test_very_long_blanks_have_the_ids_of_the_library(text):
+    assert token_ids(text, RANKS).tolist() == Tokenizer.from_file(BYTE).encode(text, add_special_tokens=False).ids
+
+
+def test_pack_takes_very_long_blanks(spark):
+    text = "a" + " " * 1_000_000 + "b"
+    rows = digest(pack(spark.createDataFrame([(1, text), (3, "x")], "doc_id long, text string"), RANKS)).collect()
+    check_pieces(rows, {1: text, 3: "x"}, 1024)
+
+
 def check_pieces(rows, texts, length):
     lib = Tokenizer.from_file(BYTE)
     docs = {}
