@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from inkgrain.llm.shared import ship
 
-#: Bound of the training sample: pages, by a hash of the id.
+#: Bound of the training sample: pages, by a hash of the row.
 SAMPLE_PAGES = 4_000
 
 # Element names of HTML.
@@ -22,6 +23,9 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split()
 )
 HIDDEN = frozenset("head title script style template noscript textarea select option datalist button iframe object svg math canvas audio video map form".split())
+#: Hidden elements whose content may still be the article, as pages wrap it in them or leave them open.
+WRAPPERS = frozenset("form button select option datalist noscript object audio video map canvas".split())
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])", re.IGNORECASE) for t in ("script", "style")}
 CLOSED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "dt": ({"dt", "dd"}, {"dl"}),
@@ -43,7 +47,9 @@ OTHER_WORDS = (
 NAMED_TAGS, NAMED_WORDS = frozenset(CONTENT_TAGS + OTHER_TAGS), frozenset(CONTENT_WORDS + OTHER_WORDS)
 PRIOR = 40.0
 
-BROKEN_END = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")
+MARKUP = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*+)|!--|[!?/])")
+ATTRIBUTE = re.compile(r"[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+)?+")
+BARE_VALUE = re.compile(r"[^\s>]*+")
 NAME = re.compile(r"[a-z]+")
 
 
@@ -53,26 +59,94 @@ class Block:
     words: frozenset[str]
     parent: int
     hidden: bool
+    #: Hidden by wrappers alone, so that an article inside is seen.
+    wrapped: bool = False
     text: list[str] = field(default_factory=list)
     linked: int = 0
     chars: int = 0
 
 
-class Blocks(HTMLParser):
-    """Block elements in page order, with parents; ``runs`` are (block, text) in page order. Inline elements belong to their block."""
+class Blocks:
+    """Block elements in page order, with parents; ``runs`` are (block, text) in page order. Inline elements belong to their block.
+
+    ``feed`` takes any text in linear time: a quote or comment that never ends is taken to end with its tag, and ``<![`` is a comment up
+    to the next ``>``, as in browsers. A tag cut off at the end is dropped.
+    """
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.blocks = [Block("#page", frozenset(), -1, False)]
         self.open = [0]
+        self.held: Counter[str] = Counter()
         self.runs: list[list] = []
         self.link = False
 
+    def feed(self, html: str) -> None:
+        last = {q: html.rfind(q) for q in ("'", '"', "-->", ">")}
+        at = 0
+        while m := MARKUP.search(html, at):
+            if m.start() > at:
+                self.handle_data(unescape(html[at : m.start()]))
+            if last[">"] < m.end() - 1:
+                return
+            closing, tag = m.groups()
+            if tag and not closing:
+                attrs, at = self.attributes(html, m.end(), last)
+                if at is None:
+                    return
+                tag = tag.lower()
+                if html[at - 2] == "/":
+                    self.handle_startendtag(tag, attrs)
+                    continue
+                self.handle_starttag(tag, attrs)
+                if tag in RAW:
+                    end = RAW[tag].search(html, at)
+                    if not end:
+                        return
+                    at = end.start()
+                continue
+            if m.group() == "<!--":
+                empty = html.startswith(">", m.end()) or html.startswith("->", m.end())
+                if not empty and last["-->"] >= m.end():
+                    at = html.index("-->", m.end()) + 3
+                    continue
+            end = html.find(">", m.end() - (m.group()[-1] == ">"))
+            if end < 0:
+                return
+            at = end + 1
+            if tag:
+                self.handle_endtag(tag.lower())
+        if at < len(html):
+            self.handle_data(unescape(html[at:]))
+
+    @staticmethod
+    def attributes(html: str, at: int, last: dict[str, int]) -> tuple[list[tuple[str, str | None]], int | None]:
+        """Names and values of a start tag from ``at`` on, and the place after its ``>`` (None if there is none)."""
+        out = []
+        while m := ATTRIBUTE.match(html, at):
+            at, value = m.end(), None
+            if html[at - 1] == "=" or html[m.end(1) : at].strip():
+                quote = html[at : at + 1]
+                if quote in ("'", '"') and last[quote] > at:
+                    end = html.index(quote, at + 1)
+                    value, at = html[at + 1 : end], end + 1
+                else:
+                    end = BARE_VALUE.match(html, at).end()
+                    value, at = html[at:end], end
+            out.append((m.group(1).lower(), value and unescape(value)))
+        end = html.find(">", at)
+        return out, end + 1 if end >= 0 else None
+
+    def close(self, i: int) -> None:
+        self.held.subtract(self.blocks[k].tag for k in self.open[i:])
+        del self.open[i:]
+
     def close_to(self, tags: set[str], stop: set[str]) -> None:
+        if not any(self.held[t] > 0 for t in tags):
+            return
         for i in range(len(self.open) - 1, 0, -1):
             tag = self.blocks[self.open[i]].tag
             if tag in tags:
-                del self.open[i:]
+                self.close(i)
                 return
             if tag in stop:
                 return
@@ -90,9 +164,16 @@ class Blocks(HTMLParser):
             if any(self.blocks[i].tag == "p" for i in self.open[-2:]):
                 self.close_to({"p"}, {"article", "section", "div", "td", "li", "button"})
         words = frozenset(w for k, v in attrs if k in ("class", "id", "role", "itemprop") and v for w in NAME.findall(re.sub("([a-z])([A-Z])", r"\1 \2", v).lower()))
-        above = self.blocks[self.open[-1]]
-        self.blocks.append(Block(tag, words, self.open[-1], above.hidden or tag in HIDDEN))
+        parent = self.open[-1]
+        above = self.blocks[parent]
+        if above.wrapped and tag in CONTENT_TAGS:
+            while self.blocks[parent].hidden:
+                parent = self.blocks[parent].parent
+            above = self.blocks[parent]
+        hidden = above.hidden or tag in HIDDEN
+        self.blocks.append(Block(tag, words, parent, hidden, hidden and tag not in HIDDEN - WRAPPERS and above.wrapped == above.hidden))
         self.open.append(len(self.blocks) - 1)
+        self.held[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -105,9 +186,11 @@ class Blocks(HTMLParser):
                 self.link = False
             return
         self.link = False
+        if self.held[tag] <= 0:
+            return
         for i in range(len(self.open) - 1, 0, -1):
             if self.blocks[self.open[i]].tag == tag:
-                del self.open[i:]
+                self.close(i)
                 return
 
     def handle_data(self, data):
@@ -125,8 +208,7 @@ class Blocks(HTMLParser):
 def parse(html: str | None) -> Blocks:
     out = Blocks()
     if html:
-        out.feed(BROKEN_END.sub("", html))
-        out.close()
+        out.feed(html)
     return out
 
 
@@ -208,7 +290,8 @@ def train_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     """
     ship(pages.sparkSession)
     total = pages.count()
-    kept = pages.select(F.col(html_col).alias("_html"), F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(29)), F.lit(1 << 30)).alias("h"))
+    key = F.xxhash64(F.col(id_col).cast("string"), F.col(html_col), F.lit(29))
+    kept = pages.select(F.col(html_col).alias("_html"), F.pmod(key, F.lit(1 << 30)).alias("h"))
     kept = kept.where(F.col("h") < int(min(1.0, sample_pages / max(1, total)) * (1 << 30))).select("_html")
 
     def count(batches):
@@ -274,8 +357,9 @@ def extract_text(pages: DataFrame, model: PageModel, id_col: str = "page_id", ur
     """``page_id, url, text, n_chars`` of every page: the texts of blocks whose marginal for content is at least one half.
 
     Character references are decoded, white space inside a block becomes one blank, blocks are joined by one blank in page
-    order. Null and empty pages and pages without content have empty text. Unclosed and wrongly nested elements are closed as browsers do; a tag cut off at the
-    end is dropped. One pass without shuffle. Repeated rows and null ids each get a row.
+    order. Null and empty pages and pages without content have empty text. Elements left open end with the element around them, and those whose
+    end tag HTML lets authors leave out end where the next one begins. Forms, buttons and the like are dropped, but for an article or main element inside;
+    a tag cut off at the end is dropped. One pass without shuffle. Repeated rows and null ids each get a row.
     """
     ship(pages.sparkSession)
     kept = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("_html"))

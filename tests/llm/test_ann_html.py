@@ -1,4 +1,5 @@
 import itertools
+import time
 
 import numpy as np
 import pytest
@@ -149,6 +150,38 @@ def test_pages_awkward(spark):
     assert extract_text(df.limit(0), train_pages(df.limit(0))).count() == 0
 
 
+MODEL = PageModel({"tag:article": 5.0, "tag:main": 5.0}, {e: ((0.9, 0.1), (0.1, 0.9)) for e in ("root", "named", "part")})
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<![x]><article>a<![>b</article>", "ab"),
+        ("<article>a<![if !IE]>b<![endif]><?x y?>c</ z>d</article>", "abcd"),
+        ("<article>a<!-- b > c -->d<!-->e<!-- open > f</article>", "ade f"),
+        ("<article>1 < 2 <3 &lt;b&gt; &amp;amp;<br/>x</article><article y", "1 < 2 <3 <b> &amp; x"),
+        ("<article title='a>b' x=\"</article>\">text</article>", "text"),
+        ("<article><p title='never closed>text</p></article>", "text"),
+        ("<script>if (a <b) '</article>'</script><article>text<style>x", "text"),
+        ("<form><article>a<form>search</form></article>send</form>", "a"),
+        ("<button>Menu<article>a", "a"),
+        ("<noscript><img><article>a</article></noscript>", "a"),
+        ("<select><option>a<article>b", "b"),
+        ("<textarea><article>a</article></textarea><form><script><article>a</script></form>", ""),
+    ],
+)
+def test_malformed_markup(html, text):
+    assert page_text(html, MODEL) == text
+
+
+@pytest.mark.parametrize("html", ["<a ", "<x a='", "<x a='>", "<!--", "<!-- >", "<a = ", "<script>", "&", "</", "<![", "<p>x", "<div></b>"])
+def test_parse_is_linear(html):
+    for tail in ("", ">", "'", '">'):
+        start = time.process_time()
+        parse(html * 100_000 + tail)
+        assert time.process_time() - start < 10
+
+
 def test_weak_labels():
     page = parse("<body><nav><p>n</p></nav><article><p>x</p><aside><p>y</p></aside></article></body>")
     assert [(b.tag, y) for b, y in zip(page.blocks, weak_labels(page.blocks)) if b.tag != "#page"] == [
