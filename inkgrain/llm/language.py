@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+import sys
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from inkgrain.llm.shared import bucket, ship, written
 
-#: Bound of the training sample: rows per language, taken by a hash of the id.
+#: Bound of the training sample: rows per language, taken by a hash of id and text.
 SAMPLE_ROWS = 2_000
 MAX_LANGUAGES = 1_000
 ROUNDS = 4
@@ -21,7 +23,9 @@ LONGEST_PIECE = 12
 LONGEST_RUN = 60
 CACHE_WORDS = 150_000
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Characters that the pattern's \w has beside letters and decimal digits, such as fractions and Roman numerals.
+NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{NUMBERS}]+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -103,16 +107,19 @@ class Pieces:
                 found[size] = ids
         return found
 
-    def forward(self, spans: dict[int, np.ndarray], p: np.ndarray, n: int) -> tuple[list[np.ndarray], np.ndarray]:
-        """alpha[j]: scaled probability of the first j letters over all segmentations, by word and language; and the log of the scale."""
+    def forward(self, spans: dict[int, np.ndarray], p: np.ndarray, n: int, letter: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+        """alpha[j]: scaled probability of the first j letters over all segmentations, by word and language; and the log of the scale.
+
+        With ``letter``, a factor for each letter of a word, that is the only scale.
+        """
         u, g = len(spans[1]), p.shape[1]
         alpha, scale = [np.ones((u, g))], np.zeros((u, g))
         for j in range(1, n + 1):
             a = np.zeros((u, g))
             for size in range(1, min(LONGEST_PIECE, j) + 1):
-                a += alpha[j - size] * p[spans[size][:, j - size]]
+                a += alpha[j - size] * p[spans[size][:, j - size]] * (1 if letter is None else letter**size)
             alpha.append(a)
-            if j % 16 == 0:
+            if letter is None and j % 16 == 0:
                 s = np.maximum(a, 1e-280)
                 for k in range(max(0, j - LONGEST_PIECE), j + 1):
                     alpha[k] = alpha[k] / s
@@ -130,16 +137,20 @@ class Pieces:
         return out
 
     def expected(self, words: list[str], counts: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """Expected pieces (pieces x languages) over all segmentations; counts: words x languages. Words are up to 15 letters
-        here, so that no scale is needed; longer ones are rare and left to the scoring."""
+        """Expected pieces (pieces x languages) over all segmentations; counts: words x languages.
+
+        The pieces of a long word are scaled by the letter, so that all its segmentations together have probability one.
+        """
         out = np.zeros_like(p)
         for n, at in by_length(words):
-            if n > 15:
-                continue
             for k in range(0, len(at), 8192):
                 part = at[k : k + 8192]
                 spans, weight = self.spans([words[i] for i in part]), counts[part]
-                alpha, _ = self.forward(spans, p, n)
+                letter = None
+                if n > 15:
+                    alpha, scale = self.forward(spans, p, n)
+                    letter = np.exp(-(np.log(np.maximum(alpha[n], 1e-300)) + scale) / n)
+                alpha, _ = self.forward(spans, p, n, letter)
                 weight = weight / np.maximum(alpha[n], 1e-300)
                 beta = [None] * n + [np.ones_like(weight)]
                 held, masses = [], []
@@ -148,6 +159,8 @@ class Pieces:
                     for size in range(1, min(LONGEST_PIECE, n - j) + 1):
                         ids = spans[size][:, j]
                         step = p[ids] * beta[j + size]
+                        if letter is not None:
+                            step *= letter**size
                         b += step
                         known = ids != self.none
                         held.append(ids[known])
@@ -166,11 +179,11 @@ def by_length(words):
     return [(int(lengths[at[0]]), at) for at in np.split(order, cuts) if len(at)]
 
 
-_tables: dict[int, Pieces] = {}
+_tables: dict[bytes, Pieces] = {}
 
 
 def table_of(pieces: list[str]) -> Pieces:
-    key = hash((len(pieces), pieces[0], pieces[-1]))
+    key = hashlib.sha256("\n".join(pieces).encode()).digest()
     if key not in _tables:
         _tables[key] = Pieces(pieces)
     return _tables[key]
@@ -186,7 +199,7 @@ class LanguageModel:
 def train_languages(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS, rounds: int = ROUNDS) -> LanguageModel:
     """Per-language piece probabilities by expectation maximisation over all segmentations of the words of a sample.
 
-    The sample holds about ``sample_rows`` rows a language, by a hash of the id, whole texts; rows with null language do not count.
+    The sample holds about ``sample_rows`` rows a language, by a hash of id and text, whole texts; rows with null language do not count.
     Words are counted by Spark; each round is one job over the counted words, and only sums per piece and
     language (bounded by the vocabulary) reach the driver. With no labelled row, the model knows no language.
     """
@@ -202,7 +215,7 @@ def train_languages(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", te
     if not g:
         return LanguageModel([], pieces, np.zeros((len(pieces) + 2, 0)))
     place = spark.createDataFrame([(r["lang"], i, min(1 << 30, int(sample_rows / r["count"] * (1 << 30)))) for i, r in enumerate(sizes)], "lang string, g int, below long")
-    key = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(3))
+    key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), F.lit(3))
     sample = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(key, F.lit(1 << 30)).alias("h"))
     sample = sample.join(F.broadcast(place), "lang").where("h < below").select("g", "text")
 

@@ -236,14 +236,14 @@ def train_toxicity(
     """Fit on at most about ``sample_rows`` labelled rows, whole texts; null labels and null ids do not count.
 
     Every hashed term that the sample holds takes part. The driver gets four bytes a row and term of the sample. If an id has several
-    labels, the highest counts.
+    labels, the highest counts; if it has several texts, the least of them in the order of strings.
     """
     ship(docs.sparkSession)
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y"))
     total = known.count()
     if total > sample_rows:
         known = known.where(F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(1 << 30)) < int(sample_rows / total * (1 << 30)))
-    pairs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(known), "_id").select("_id", "_t", "_y")
+    pairs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(known), "_id").groupBy("_id").agg(F.min("_t").alias("_t"), F.max("_y").alias("_y"))
 
     def expand(batches):
         for batch in batches:

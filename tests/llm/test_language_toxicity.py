@@ -40,6 +40,33 @@ def test_forward_and_expected_against_all_segmentations():
     assert np.allclose(table.expected(words, np.ones((len(words), 3)), p), total)
 
 
+@pytest.mark.parametrize("n", [16, 17, 18])
+def test_expected_pieces_of_long_words(n):
+    rng = np.random.default_rng(n)
+    pieces = ["a", "b", "ab", "bab"]
+    p = rng.random((len(pieces) + 2, 2)) * 1e-15
+    p[-1] = 0
+    word = "".join(rng.choice(list("ab"), n))
+    each = [(ids, np.log(p[ids]).sum(axis=0)) for ids in segmentations(word, pieces)]
+    top = max(q.max() for _, q in each)
+    each = [(ids, np.exp(q - top)) for ids, q in each]
+    total = np.zeros_like(p)
+    for ids, q in each:
+        for i in ids:
+            total[i] += q / sum(q for _, q in each)
+    assert np.allclose(Pieces(pieces).expected([word], np.ones((1, 2)), p), total)
+
+
+def test_expected_pieces_of_sixty_letters():
+    """Every segmentation has as many letters as the word; a run of one letter has one segmentation."""
+    pieces = ["a", "ab", "b", "x"]
+    p = np.full((len(pieces) + 2, 2), 1e-9)
+    p[-1] = 0
+    got = Pieces(pieces).expected(["ab" * 30, "x" * 60], np.array([[1.0, 2.0], [3.0, 0.0]]), p)
+    assert np.allclose(got[0] + 2 * got[1] + got[2], [60, 120])
+    assert np.allclose(got[3], [180, 0])
+
+
 def test_long_runs_do_not_underflow():
     table = Pieces(["a", "b"])
     p = np.full((4, 2), 1e-12)
@@ -66,6 +93,8 @@ def test_language_awkward(spark, sf):
     for d in (4, 5, 6, 9):
         assert (by[d]["lang_pred"], by[d]["score"]) == ("und", 0.0)
     assert predict_languages(awkward(spark, []), model).count() == 0
+    odd = spark.createDataFrame([(1, "½ ²"), (2, "Ⅷ"), (3, "① 12 _"), (4, "½a")], "doc_id long, text string")
+    assert [r["lang_pred"] == "und" for r in predict_languages(odd, model).orderBy("doc_id").collect()] == [True, True, True, False]
     unknown = train_languages(docs.withColumn("lang", F.lit(None).cast("string")), VOCABULARY)
     assert {r["lang_pred"] for r in predict_languages(awkward(spark), unknown).collect()} == {"und"}
 
@@ -144,5 +173,8 @@ def test_toxicity_awkward(spark, sf):
     empty = {r["score"] for r in got if r["doc_id"] in (4, 5, 6)}
     assert len(empty) == 1 and empty.pop() < 0.5
     assert score_toxicity(awkward(spark, []), machine).count() == 0
+    again = docs.select("doc_id", "text").unionByName(docs.select("doc_id", F.concat("text", F.lit(" zzz")).alias("text"))).unionByName(docs.select("doc_id", "text"))
+    one = train_toxicity(again, odd)  # rows that repeat an id are one row of the sample
+    assert one.bias == machine.bias and (one.weights == machine.weights).all()
     nothing = train_toxicity(docs, labels.limit(0))
     assert {r["predicted"] for r in score_toxicity(awkward(spark), nothing).collect()} == {0}
