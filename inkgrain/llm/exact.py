@@ -64,10 +64,10 @@ def exact_groups(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "sha", "rid"
     )
     maybe = looked.where(repeated).select("doc_id", "n", "sha", "rid")
-    best = F.max(F.struct("n", (-F.col("doc_id")).alias("neg_id"), (-F.col("rid")).alias("neg_rid"), F.col("doc_id").alias("keep_id")))
+    best = F.max(F.struct("n", F.bitwise_not("doc_id").alias("down_id"), F.bitwise_not("rid").alias("down_rid"), F.col("doc_id").alias("keep_id")))
     groups = written(maybe.groupBy("sha").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")), "groups")
     grouped = maybe.join(groups, "sha").select(
-        "doc_id", F.col("best.keep_id").alias("keep_id"), "group_size", (F.col("rid") == -F.col("best.neg_rid")).alias("kept"), "sha", "rid"
+        "doc_id", F.col("best.keep_id").alias("keep_id"), "group_size", (F.col("rid") == F.bitwise_not("best.down_rid")).alias("kept"), "sha", "rid"
     )
     out = alone.unionByName(grouped).withColumn("text_sha256", F.lower(F.hex("sha"))).drop("sha")
     return out.withColumnRenamed("rid", "row") if row_col else out.drop("rid")

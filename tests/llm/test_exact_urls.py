@@ -54,6 +54,11 @@ def test_exact_plan_is_native_and_unique_rows_do_not_shuffle(spark):
     assert "Exchange hashpartitioning" not in alone.split("SortMergeJoin")[0].split("BroadcastHashJoin")[0]
 
 
+def test_exact_extreme_ids(spark):
+    rows = [(-(2**63), "a b"), (2**63 - 1, "ab "), (0, "a b"), (-(2**63), "x"), (2**63 - 1, "x"), (None, "x")]
+    check(exact_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
+
+
 def test_exact_empty_and_drop(spark):
     assert exact_groups(awkward(spark, [])).count() == 0
     assert drop_exact(awkward(spark, [])).count() == 0
