@@ -19,8 +19,9 @@ SAMPLE_ROWS = 20_000
 TREES = 24
 DEPTH = 8
 #: A query visits leaves, nearest border first over all trees, until they hold this share of the rows (a row counts in every tree).
-SHARE = 0.8
-LEAST_ROWS = 4000
+SHARE = 1.0
+#: Bound of the rounding error of a cosine taken by a matrix product, in either order of its sums.
+MARGIN = 1e-9
 #: Most rows of a leaf in one group; larger leaves are dealt out to several groups.
 GROUP_ROWS = 4096
 
@@ -93,6 +94,12 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """A vector divided by the power of two that brings its largest part to at least one half and below one."""
+    x = x + 0.0  # no negative zeros, which would part equal vectors
+    return np.ldexp(x, -int(np.frexp(np.abs(x).max())[1]))
+
+
 def nearest(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -107,29 +114,35 @@ def nearest(
     """``query_id, rank, vec_id, score``: of every row that ``query`` names, the ``k`` rows of largest cosine found among all others.
 
     Rows with equal vectors are one class; a class keeps its k+1 smallest ids, which is all that a result can need, so
-    copies meet no query twice. Classes and queries meet in leaves; a leaf with many rows is dealt to
-    several groups. In a group one matrix product ranks, and the best are scored again by an exact sum. The forest is bounded by trees and depth.
+    copies meet no query twice. Vectors are divided by a power of two first, which changes no cosine and lets no sum overflow. Classes and
+    queries meet in leaves; a leaf with many rows is dealt to several groups. In a group one matrix product ranks, and all that could be
+    among the best are scored again by an exact sum. The forest is bounded by trees and depth.
 
-    Null and zero vectors, vectors with null or non-finite parts and null ids take no part; nor do vectors whose
-    length is not the most common one. Repeated rows count once. Ties go to the smaller id; an empty table gives no rows.
+    Null and zero vectors, vectors with null or non-finite parts and null ids take no part. Vectors of another length are a
+    space of their own. Repeated rows count once. Ties go to the smaller id; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     ship(spark)
     v = F.col(vector_col)
     sound = v.isNotNull() & F.col(id_col).isNotNull() & (F.size(v) > 0) & F.forall(v, lambda a: a.isNotNull() & ~F.isnan(a) & (F.abs(a) < float("inf"))) & F.exists(v, lambda a: a != 0)
     rows = vectors.where(F.coalesce(sound, F.lit(False))).select(F.col(id_col).alias("vec_id"), v.cast("array<double>").alias("v"))
-    widths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     schema = "query_id long, rank int, vec_id long, score double"
-    if not widths:
-        return spark.createDataFrame([], schema)
-    dim, most = widths[0]["d"], widths[0]["count"]
 
     def binary(batches):
         for batch in batches:
-            packed = [np.asarray(x, dtype="<f8").tobytes() for x in batch.column("v").to_pylist()]
+            packed = [scaled(np.asarray(x, dtype="<f8")).tobytes() for x in batch.column("v").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(packed, pa.binary())], ["vec_id", "v"])
 
-    rows = written(rows.where(F.size("v") == dim).mapInArrow(binary, f"vec_id {dict(rows.dtypes)['vec_id']}, v binary").distinct(), "vectors")
+    rows = written(rows.mapInArrow(binary, f"vec_id {dict(rows.dtypes)['vec_id']}, v binary").distinct(), "vectors")
+    out = spark.createDataFrame([], schema)
+    for r in rows.groupBy(F.length("v").alias("width")).count().orderBy("width").collect():
+        out = out.unionByName(_nearest(rows.where(F.length("v") == r["width"]), query, k, trees, depth, share, sample_rows))
+    return out
+
+
+def _nearest(rows: DataFrame, query: str, k: int, trees: int, depth: int, share: float, sample_rows: int) -> DataFrame:
+    """``nearest`` among vectors of one length."""
+    spark = rows.sparkSession
     first = Window.partitionBy("v").orderBy("vec_id")
     asked = rows.where(query).select("v").distinct().withColumn("asks", F.lit(True))
     few = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
@@ -155,32 +168,34 @@ def nearest(
     for r in at.groupBy("tree", "leaf").count().collect():
         counts[r["tree"], r["leaf"]] = r["count"]
     sizes = spark.sparkContext.broadcast(counts)
-    wanted = max(share * total, LEAST_ROWS)
+    wanted = share * total + trees * (k + 1)  # the second part holds k+1 classes at least, as a class counts once a tree
 
     def search(batches):
         for batch in batches:
-            cid, raw, tree, leaf, group = [], [], [], [], []
-            for c, v in zip(batch.column("cid").to_pylist(), batch.column("v").to_pylist()):
+            cid, raw, first, tree, leaf, group = [], [], [], [], [], []
+            for c, v, i in zip(*(batch.column(n).to_pylist() for n in ("cid", "v", "id"))):
                 for t, x in forest.value.search(unit(unpack([v]))[0], sizes.value, wanted):
                     for g in range(-(-int(sizes.value[t, x]) // GROUP_ROWS)):
                         cid.append(c)
                         raw.append(v)
+                        first.append(i)
                         tree.append(t)
                         leaf.append(x)
                         group.append(g)
-            yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), pa.array(raw, pa.binary()), *(pa.array(x, pa.int32()) for x in (tree, leaf, group))], ["cid", "v", "tree", "leaf", "part"])
+            yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), pa.array(raw, pa.binary()), pa.array(first, pa.int64()), *(pa.array(x, pa.int32()) for x in (tree, leaf, group))], ["cid", "v", "id", "tree", "leaf", "part"])
 
-    place = "cid long, v binary, tree int, leaf int, part int"
-    queries = classes.where("asks").select("cid", "v").repartition("cid").mapInArrow(search, place)
+    place = "cid long, v binary, id long, tree int, leaf int, part int"
+    least = F.element_at("ids", 1).cast("long").alias("id")
+    queries = classes.where("asks").select("cid", "v", least).repartition("cid").mapInArrow(search, place)
 
     def deal(batches):
         for batch in batches:
             c = np.asarray(batch.column("cid"))
             groups = -(-sizes.value[np.asarray(batch.column("tree")), np.asarray(batch.column("leaf"))] // GROUP_ROWS)
             part = (c.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % groups
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("cid", "v", "tree", "leaf")), pa.array(part, pa.int32())], ["cid", "v", "tree", "leaf", "part"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("cid", "v", "id", "tree", "leaf")), pa.array(part, pa.int32())], ["cid", "v", "id", "tree", "leaf", "part"])
 
-    stored = codes.join(classes.select("cid", "v"), "cid").select("cid", "v", F.posexplode("leaves").alias("tree", "leaf")).mapInArrow(deal, place)
+    stored = codes.join(classes.select("cid", "v", least), "cid").select("cid", "v", "id", F.posexplode("leaves").alias("tree", "leaf")).mapInArrow(deal, place)
     top = k + 1
 
     def meet(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
@@ -189,13 +204,17 @@ def nearest(
         a, b = unpack(list(q["v"])), unpack(list(c["v"]))
         same = q["cid"].to_numpy()[:, None] == c["cid"].to_numpy()[None, :]
         rough = np.where(same, -9.0, unit(a) @ unit(b).T)
-        best = np.argpartition(-rough, min(top + 2, rough.shape[1] - 1), axis=1)[:, : top + 2]
-        qi = np.repeat(np.arange(len(a)), best.shape[1])
-        ci = best.ravel()
-        right = ~same[qi, ci]
-        qi, ci = qi[right], ci[right]
-        x, y = a[qi], b[ci]
-        score = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
+        # what the rounding of the product could have put below the best is scored as well, so that ties are seen whole
+        edge = np.partition(rough, -min(top, rough.shape[1]), axis=1)[:, -min(top, rough.shape[1])]
+        qi, ci = np.nonzero((rough >= edge[:, None] - MARGIN) & ~same)
+        score = np.empty(len(qi))
+        for s in range(0, len(qi), 1 << 16):
+            x, y = a[qi[s : s + (1 << 16)]], b[ci[s : s + (1 << 16)]]
+            score[s : s + (1 << 16)] = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
+        order = np.lexsort((c["id"].to_numpy()[ci], -score, qi))
+        ahead = np.searchsorted(qi[order], np.arange(len(a)))
+        order = order[np.arange(len(order)) - ahead[qi[order]] < top]
+        qi, ci, score = qi[order], ci[order], score[order]
         return pd.DataFrame({"q": q["cid"].to_numpy()[qi], "c": c["cid"].to_numpy()[ci], "score": score})
 
     keys = ["tree", "leaf", "part"]

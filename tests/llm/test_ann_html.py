@@ -60,6 +60,46 @@ def test_copies_ties_and_vectors_that_take_no_part(spark):
     assert got[0][1] == (1, 1.0) and got[50][1] == (0, 1.0)
 
 
+def test_equal_directions_go_by_id(spark):
+    v = np.random.default_rng(3).normal(size=6)
+    rows = [(i, (v * 2.0**i).tolist()) for i in range(40)] + [(i, (np.array([1.0, 0, 0, 0, 0, 0]) * (i - 39)).tolist()) for i in range(40, 120)]
+    got = {}
+    for r in nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    assert [got[0][k] for k in range(1, 6)] == [(i, 1.0) for i in range(1, 6)]
+    assert [got[50][k] for k in range(1, 6)] == [(i, 1.0) for i in range(40, 45)]
+    assert [got[100][k] for k in range(1, 6)] == [(i, 1.0) for i in range(40, 45)]
+
+
+def test_huge_and_tiny_vectors(spark):
+    rows = [(0, [1e200, 2e200]), (1, [1e200, 0.0]), (2, [5e-324, 5e-324]), (3, [1.0, 2.0]), (4, [-1e-300, 0.0])]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [3, 2, 1, 4]
+    assert [r["score"] for r in got] == pytest.approx([1.0, 3 / 10**0.5, 1 / 5**0.5, -1 / 5**0.5], abs=1e-15)
+
+
+def test_each_length_is_a_space(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(90)] + [(i, rng.normal(size=2).tolist()) for i in range(100, 160)] + [(200, [1.0])]
+    got = {}
+    for r in nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert got == brute(rows[:90]) | brute(rows[90:150])
+
+
+def test_recall_on_a_larger_table(spark):
+    """20,000 vectors without any clusters, the hardest case; queries are those of the contract."""
+    x = np.random.default_rng(5).normal(size=(20_000, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    near = unit[::50] @ unit.T
+    near[np.arange(400), np.arange(0, 20_000, 50)] = -9
+    want = np.argsort(-near, axis=1)[:, :5]
+    hits = sum(r["vec_id"] in want[r["query_id"] // 50] for r in nearest(df).collect())
+    print("recall", hits / 2000)
+    assert hits / 2000 >= 0.9
+
+
 def test_fewer_candidates_than_asked_and_empty(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2.0, 1.0]), (2, [-1.0, 0.5])], "vec_id long, embedding array<float>")
     assert [(r["rank"], r["vec_id"]) for r in nearest(df).orderBy("rank").collect()] == [(1, 1), (2, 2)]
