@@ -8,6 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkgrain.operators.store import write_table
+
 
 @dataclass(frozen=True)
 class LookupLimits:
@@ -39,6 +41,12 @@ def table_bytes(table: DataFrame, key: str) -> int:
     return table.agg(F.sum(payload + 64)).first()[0] or 0
 
 
+def frequent_keys(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """At most ``n`` keys, the most frequent by a sketch that tracks 16 times as many; written, so that both sides of a join see the same ones."""
+    items = F.expr(f"approx_top_k(`{key}`, {n}, {16 * n})")
+    return write_table(rows.where(F.col(key).isNotNull()).agg(items.alias("top")).select(F.explode("top.item").alias(key)), "frequent")
+
+
 def lookup_join(
     rows: DataFrame, table: DataFrame, key: str, limits: LookupLimits = LookupLimits(), size: int | None = None, frequency: str | None = None
 ) -> DataFrame:
@@ -46,15 +54,13 @@ def lookup_join(
 
     A small table is broadcast, so ``rows`` keep their partitioning. A large one is joined by one shuffle in which ``rows`` are
     expanded once: its most frequent keys, which the table itself knows by its column ``frequency``, are repeated under every salt, and
-    their rows are dealt over the salts. Rows without a key are dealt out as well and find nothing. Without ``frequency``, skew is
-    left to adaptive execution. Every row comes out exactly once in any case.
+    their rows are dealt over the salts. Rows without a key are dealt out as well and find nothing. Without ``frequency``, a sketch of
+    ``rows`` names the most frequent keys, at the cost of one more pass over them. Every row comes out exactly once in any case.
     """
     size = table_bytes(table, key) if size is None else size
     if size <= limits.broadcast_bytes:
         return rows.join(F.broadcast(table), key, "left")
-    if frequency is None:
-        return rows.join(table.hint("merge"), key, "left")
-    top = table.orderBy(F.desc(frequency), key).limit(limits.hot_keys)
+    top = frequent_keys(rows, key, limits.hot_keys) if frequency is None else table.orderBy(F.desc(frequency), key).limit(limits.hot_keys)
     hot = F.broadcast(top.select(key, F.lit(limits.salts).alias("__salts")))
     dealt = F.pmod(F.xxhash64(*[c for c in rows.columns if c != key]), F.lit(limits.salts)).cast("int")
     marked = rows.join(hot, key, "left").withColumn(

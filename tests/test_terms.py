@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,6 +177,24 @@ def test_top_terms_are_cut_before_the_shuffle(docs):
     assert "Partial" in plan.split("WindowGroupLimit")[2].splitlines()[0]
 
 
+def test_a_hot_key_of_unknown_frequency_is_dealt_out(spark):
+    key = F.when(F.col("id") % 10 != 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 700))
+    rows = spark.range(20_000).withColumn("key", key)
+    table = spark.range(700).select(F.concat(F.lit("k"), F.col("id")).alias("key"), F.col("id").alias("x")).union(spark.sql("SELECT 'hot', -1L"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", False)
+        spark.conf.set("spark.sql.shuffle.partitions", 16)
+        joined = lookup_join(rows, table, "key", LookupLimits(0, 8, 64))
+        got = joined.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {(r["id"], r["x"]) for r in got} == {(i, -1 if i % 10 else i % 700) for i in range(20_000)} and len(got) == 20_000
+    tasks = Counter(r["task"] for r in got if r["key"] == "hot")
+    assert len(tasks) > 8 and max(tasks.values()) < 18_000 / 4
+
+
 def test_lookup_join_keeps_every_row(spark):
     # A hot key that is known, a hot key that is not, and many rows without a key.
     keys = ["hot"] * 500 + ["gone"] * 400 + [None] * 300 + [f"k{i}" for i in range(200)]
