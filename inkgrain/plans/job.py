@@ -25,6 +25,10 @@ from inkgrain.plans.search import search
 from inkgrain.sources import csv
 
 
+#: Column for the place of a row in its files, until rows have ids.
+PLACE = "__place"
+
+
 @dataclass
 class Config:
     train_path: str = "./dataset/train.csv"
@@ -49,6 +53,7 @@ class Config:
     seed: int = 42
     space: dict | None = None
     feature_space: dict | None = None
+    study_path: str | None = None
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -61,16 +66,18 @@ def run(spark: SparkSession, cfg: Config) -> dict:
     text, label, key = cfg.text_col, cfg.label_col, cfg.id_col
     if exists(spark, cfg.out_path):
         raise ValueError(f"{cfg.out_path} is there already")
-    given = csv.read_labelled(spark, cfg.train_path, text, label, multi_line=cfg.multi_line)
+    how = {"multi_line": cfg.multi_line, "split": True}
+    given = csv.read_labelled(spark, cfg.train_path, text, label, **how, place_col=PLACE)
     unlabelled = given.where(F.col(label).isNull()).count()
     if unlabelled:
         raise ValueError(f"{unlabelled} rows of {cfg.train_path} have no {label}")
-    train = write_table(dense_row_id(given, key), "train")
+    train = write_table(dense_row_id(given, key, order_by=PLACE).drop(PLACE), "train")
     if csv.has_column(spark, cfg.test_path, key):
-        test = write_table(csv.read_unlabelled(spark, cfg.test_path, text, key, multi_line=cfg.multi_line), "test")
+        test = write_table(csv.read_unlabelled(spark, cfg.test_path, text, key, **how), "test")
         require_unique(test, key)
     else:
-        test = write_table(dense_row_id(csv.read_unlabelled(spark, cfg.test_path, text, multi_line=cfg.multi_line), key), "test")
+        unnamed = csv.read_unlabelled(spark, cfg.test_path, text, **how, place_col=PLACE)
+        test = write_table(dense_row_id(unnamed, key, order_by=PLACE).drop(PLACE), "test")
 
     embedder = None
     if cfg.vectors_path:
@@ -98,6 +105,7 @@ def run(spark: SparkSession, cfg: Config) -> dict:
             cfg.parallelism,
             cfg.space,
             cfg.feature_space,
+            study=cfg.study_path,
         )
 
     def fresh_pipeline():
@@ -134,6 +142,7 @@ def main(argv=None) -> None:
     parser.add_argument("--metric", default="f1_macro")
     parser.add_argument("--no-tuning", action="store_true")
     parser.add_argument("--timeout-sec", type=float)
+    parser.add_argument("--study", help="shared folder that keeps finished trials, so that a stopped job goes on after them")
     parser.add_argument("--parallelism", type=int, default=1)
     parser.add_argument("--threshold", type=float, default=0.90, help="1.01 turns pseudo-labels off")
     args = parser.parse_args(argv)
@@ -152,6 +161,7 @@ def main(argv=None) -> None:
             cv_metric=args.metric,
             run_tuning=not args.no_tuning,
             timeout_sec=args.timeout_sec,
+            study_path=args.study,
             parallelism=args.parallelism,
             threshold=args.threshold,
         ),

@@ -14,6 +14,8 @@ from inkgrain.operators.splits import stratified_folds
 from inkgrain.plans.evaluate import cross_validate, static_features
 from inkgrain.plans.registry import ALIASES, MODELS
 
+#: Columns of a kept trial.
+STUDY = "trial_id int, params string, score double, kind string"
 # Ranges to draw from.
 SPACES = {
     "gbt": {
@@ -94,6 +96,20 @@ def best_trial(trials: DataFrame) -> DataFrame:
     return trials.orderBy(F.desc("score"), "trial_id").limit(1)
 
 
+def finished_trials(spark, study: str, kind: str) -> dict[int, float]:
+    """Scores of the trials that a study folder holds; a trial that was being written when its driver was lost does not count."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(study)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    marks = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "trial-*/_SUCCESS"))
+    paths = [str(m.getPath().getParent()) for m in marks or ()]
+    if not paths:
+        return {}
+    rows = spark.read.schema(STUDY).parquet(*paths).collect()
+    if any(r["kind"] != kind for r in rows):
+        raise ValueError(f"{study} holds a study of other settings")
+    return {r["trial_id"]: r["score"] for r in rows}
+
+
 def search(
     rows: DataFrame,
     embedder,
@@ -109,11 +125,13 @@ def search(
     parallelism: int = 1,
     space: dict | None = None,
     feature_space: dict | None = None,
+    study: str | None = None,
 ):
     """``(settings, score, trials)``: the best arguments for ``build_pipeline``, their mean
     score, and one row per trial ``(trial_id, params, score)``.
 
-    No further trial starts after ``timeout_sec``.
+    No further trial starts after ``timeout_sec``. ``study`` names a shared folder that keeps every finished trial: a search that was
+    stopped goes on after the last of them, with the draws it would have made, and refuses a folder of other settings.
     """
     model = ALIASES.get(model, model)
     if model not in MODELS:
@@ -124,15 +142,23 @@ def search(
     table, names = static_features(dealt, embedder, text_col, label_col, id_col, keep=["fold"])
     rng, started, done = random.Random(seed), time.monotonic(), []
     shared: dict = {}  # term tables, by kind of terms: trials read them instead of the texts
+    spark = rows.sparkSession
+    kind = json.dumps({"model": model, "k": k, "seed": seed, "metric": metric, "space": space, "feature_space": feature_space}, sort_keys=True)
+    known = finished_trials(spark, study, kind) if study else {}
     for trial in range(n_trials):
-        if done and timeout_sec is not None and time.monotonic() - started > timeout_sec:
+        if done and trial not in known and timeout_sec is not None and time.monotonic() - started > timeout_sec:
             break
         clf_params = draw(SPACES[model] if space is None else space, rng)
         feature_params = draw({**FEATURE_SPACE, **(feature_space or {})}, rng)
         settings = trial_settings(model, clf_params, feature_params)
+        params = json.dumps({**clf_params, **feature_params}, sort_keys=True)
+        if trial in known:
+            done.append((trial, params, known[trial], settings))
+            continue
         scores = cross_validate(table, names, text_col, label_col, id_col, k, settings, metric, parallelism, shared)
-        mean = scores.agg(F.avg("score")).first()[0]
-        done.append((trial, json.dumps({**clf_params, **feature_params}, sort_keys=True), float(mean), settings))
-    trials = rows.sparkSession.createDataFrame([d[:3] for d in done], "trial_id int, params string, score double")
+        done.append((trial, params, float(scores.agg(F.avg("score")).first()[0]), settings))
+        if study:
+            spark.createDataFrame([(*done[-1][:3], kind)], STUDY).coalesce(1).write.mode("overwrite").parquet(f"{study}/trial-{trial:06d}")
+    trials = spark.createDataFrame([d[:3] for d in done], "trial_id int, params string, score double")
     best = best_trial(trials).first()
     return done[best["trial_id"]][3], best["score"], trials

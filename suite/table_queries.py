@@ -34,6 +34,19 @@ def csv_scan(spark, sf):
     return back.select("id", F.coalesce("TEXT", F.lit("")).alias("text"), F.col("LABEL").alias("label"))
 
 
+@query("csv_split", f"""
+WITH {fx.LABELLED} SELECT doc_id AS id, {fx.CSV_EXPR} AS text, CAST(label AS INTEGER) AS label,
+  row_number() OVER (ORDER BY doc_id) - 1 AS place FROM labelled""")
+def csv_split(spark, sf):
+    """Quoted files read by all their parts at once; rows are numbered in the order of files and lines."""
+    rows = fx.labelled(spark, sf, "text").select(F.col("doc_id").alias("id"), F.expr(fx.CSV_EXPR).alias("TEXT"), F.col("label").alias("LABEL"))
+    path = new_path(spark, "texts")
+    csv.write_texts(rows.orderBy("id"), path)
+    back = csv.read_labelled(spark, path, id_col="id", id_type=LongType(), split=True, place_col="at")
+    back = dense_row_id(back, "place", order_by="at")
+    return back.select("id", F.coalesce("TEXT", F.lit("")).alias("text"), F.col("LABEL").alias("label"), "place")
+
+
 @query("vector_table_parse", """
 SELECT 'w' || vec_id AS word, CAST(unnest(range(len(embedding))) AS INTEGER) AS dim,
   round(CAST(unnest(embedding) AS DOUBLE), 6) AS value FROM embeddings""")

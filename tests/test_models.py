@@ -203,6 +203,32 @@ def test_search(texts):
         search(*args, n_trials=0)
 
 
+def test_a_stopped_search_goes_on(texts, tmp_path, monkeypatch):
+    from inkgrain.plans import search as module
+
+    args, space = (texts, None, "TEXT", "LABEL", "id", "random_forest"), {"n_estimators": ("int", 2, 40, 1)}
+    ran, scorer = [], module.cross_validate
+
+    def two_at_most(*a):
+        if len(ran) == 2:
+            raise KeyboardInterrupt
+        ran.append(a[6]["model_params"])
+        return scorer(*a)
+
+    monkeypatch.setattr(module, "cross_validate", two_at_most)
+    with pytest.raises(KeyboardInterrupt):
+        search(*args, n_trials=3, k=2, space=space, study=str(tmp_path / "study"))
+    first = ran.copy()
+    ran.clear()
+    _, _, trials = search(*args, n_trials=3, k=2, space=space, study=str(tmp_path / "study"))
+    assert len(ran) == 1 and trials.count() == 3
+    monkeypatch.setattr(module, "cross_validate", lambda *a: first.append(a[6]["model_params"]) or trials.limit(1))
+    search(*args, n_trials=3, k=2, space=space)  # the draws of a search that was not stopped
+    assert first[2:] == [*first[:2], *ran]
+    with pytest.raises(ValueError, match="other settings"):
+        search(*args, n_trials=3, k=2, seed=1, space=space, study=str(tmp_path / "study"))
+
+
 @pytest.mark.parametrize("threshold,grows", [(0.6, True), (1.01, False)])
 def test_pseudo_round(texts, threshold, grows):
     make = lambda: build_pipeline(**FOREST)
