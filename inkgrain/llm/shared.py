@@ -47,6 +47,23 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """``df`` as a Parquet table whose files are dealt by a hash of ``key``, so that joins on it move the other side alone.
+
+    The files lie in the shared folder; the name that the catalogue needs is dropped at once.
+    """
+    path = f"{shared_folder(df.sparkSession)}/inkgrain-llm/{uuid.uuid4().hex}/{name}"
+    for paths in _collecting:
+        paths.append(path)
+    entry = f"inkgrain_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, key).write.format("parquet").option("compression", "zstd").option("parquet.block.size", str(ROW_GROUP_BYTES))
+    writer.option("path", path).bucketBy(buckets, key).saveAsTable(entry)
+    out = df.sparkSession.table(entry)
+    out.schema  # resolved before the name goes
+    df.sparkSession.sql(f"DROP TABLE {entry}")
+    return out
+
+
 @contextmanager
 def collected():
     """The list of all tables that :func:`written` makes inside."""

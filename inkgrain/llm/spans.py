@@ -9,14 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkgrain.llm.shared import ship, written
+from inkgrain.llm.shared import bucketed, ship, written
 from inkgrain.llm.words import runs, signed, spans, word_hashes
 
 LENGTH = 50
 #: Anchors are least hashes of this many words inside a window.
 GRAM = 8
-#: Tables keyed by row are broadcast up to this many bytes, else joined by shuffle.
-BROADCAST_BYTES = 8 << 20
+#: Texts are written in buckets of about this many windows (16 MB); Spark allows 100,000 buckets.
+BUCKET_WINDOWS = 2_000_000
+MOST_BUCKETS = 100_000
 
 
 class SuffixAutomaton:
@@ -99,13 +100,10 @@ def anchors(h: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray
     return starts, np.diff(np.append(starts, n)), g[at[starts]]
 
 
-def keyed(df: DataFrame, other: DataFrame, on: str, how: str, row_bytes: int, limit: int) -> DataFrame:
-    """Join to a written table, broadcast only if its rows times ``row_bytes`` fit."""
-    return df.join(F.broadcast(other) if other.count() * row_bytes <= limit else other, on, how)
+def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket_windows: int = BUCKET_WINDOWS) -> tuple[DataFrame, DataFrame]:
+    """``row, start, n, ref_row, ref_start``: runs of ``n`` windows of ``docs`` (row, doc_id, text, ...) that a document with a smaller id holds; and ``docs``, written in buckets by row.
 
-
-def repeated_spans(docs: DataFrame, length: int = LENGTH, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``row, start, n, ref_row, ref_start``: runs of ``n`` windows of ``docs`` (row, doc_id, text) that a document with a smaller id holds.
+    ``docs`` has no null ids. The texts are shuffled once, into the buckets; every join by row then moves the narrow side alone.
 
     Windows are grouped into runs with one anchor. Anchors of one document alone drop out. Runs equal as a whole are settled by
     the smallest document of their hash; only runs that share an anchor with a different run are looked at window by
@@ -124,9 +122,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, broadcast_bytes: int =
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*parts)], ["anchor", "run", "row", "doc", "start", "n"])
 
-    known = docs.where(F.col("doc_id").isNotNull())
-    cuts = known.select("row", "doc_id", "text").mapInArrow(cut, "anchor long, run long, row long, doc long, start long, n long")
+    cuts = docs.select("row", "doc_id", "text").mapInArrow(cut, "anchor long, run long, row long, doc long, start long, n long")
     cuts = written(cuts, "runs")
+    windows_in_all = cuts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    docs = bucketed(docs, "texts", "row", min(MOST_BUCKETS, 1 + windows_in_all // bucket_windows))
     several = cuts.groupBy("anchor").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x < y").select("anchor")
     cuts = written(cuts.join(written(several, "anchors"), "anchor"), "candidates")
 
@@ -138,7 +137,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, broadcast_bytes: int =
 
     asked = judged.where("doc = first.doc").join(mixed, "anchor").groupBy("row").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("asked"))
     asked = written(asked, "asked")
-    looked = keyed(docs.where(F.col("doc_id").isNotNull()), asked, "row", "inner", 400, broadcast_bytes)
+    looked = docs.join(asked.hint("shuffle_hash"), "row")
 
     def windows(batches):
         for batch in batches:
@@ -162,19 +161,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, broadcast_bytes: int =
     before = Window.partitionBy("row", "ref_row", "diagonal").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     runs_ = runs_.withColumn("island", F.col("start") - F.coalesce(F.sum("n").over(before), F.lit(0)))
     runs_ = runs_.groupBy("row", "ref_row", "diagonal", "island").agg(F.min("start").alias("start"), F.sum("n").alias("n"), F.min("ref_start").alias("ref_start"))
-    return written(runs_.select("row", "start", "n", "ref_row", "ref_start"), "spans")
+    return written(runs_.select("row", "start", "n", "ref_row", "ref_start"), "spans"), docs
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, broadcast_bytes: int = BROADCAST_BYTES, texts: bool = True, also: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, texts: bool = True, also: tuple[str, ...] = (), as_is: bool = False, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` (and ``kept`` if ``texts``), and the columns ``also``, of every row.
 
     Words are runs without blank, \\t, \\n, \\v, \\f, \\r. A word goes if a window of ``length`` words covers it whose words also start in a
-    document with a smaller id; windows are judged on the input. ``kept`` joins the others by one blank.
+    document with a smaller id; windows are judged on the input. ``kept`` joins the others by one blank; with ``as_is``, a text that loses
+    nothing is kept unchanged, null texts included.
+
+    Joins of anchor and window hashes find the repeated spans (``repeated_spans``). The words of the first document that holds a passage are
+    its reference; each span is run through the suffix automaton of its reference, and what has a matching statistic of ``length`` or more goes,
+    so that equal hashes of unequal words remove nothing. A reference is fetched once, whatever the number of its copies.
 
-    Hashes of anchors and windows only say where to look (``repeated_spans``). The words of the first document that holds a passage are
-    its reference; each document is streamed through the suffix automaton of the references that its spans name, and what has a matching statistic of
-    ``length`` or more goes. A reference is fetched once, whatever the number of its copies. Tables joined to the texts are
-    broadcast if they are measured to be small, else shuffled by row.
+    Texts too short for a window pass by without a shuffle. The others are shuffled once, at every size of the table.
 
     Null and empty texts have no words. Rows with a null id are neither references nor cut. Rows that repeat an id do not cut each
     other; rows equal in id and text get equal results. An empty table gives no rows.
@@ -182,7 +183,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ship(docs.sparkSession)
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *also)
     named = named.withColumn("row", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(5), F.coalesce("text", F.lit(""))))
-    found = repeated_spans(named, length, broadcast_bytes)
+    # a window has ``length`` words and a blank between each two of them
+    holds_window = F.col("doc_id").isNotNull() & (F.coalesce(F.length("text"), F.lit(0)) >= 2 * length - 1)
+    found, stored = repeated_spans(named.where(holds_window), length, bucket_windows)
 
     wanted = found.select("ref_row", "ref_start", "n").distinct()
     asked = wanted.groupBy(F.col("ref_row").alias("row")).agg(F.collect_list(F.struct("ref_start", "n")).alias("asked"))
@@ -198,13 +201,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())], ["ref_row", "ref_start", "n", "words"])
 
-    sources = keyed(named.select("row", "text"), asked, "row", "inner", 200, broadcast_bytes)
+    sources = stored.select("row", "text").join(asked.hint("shuffle_hash"), "row")
     passages = sources.mapInArrow(fetch, "ref_row long, ref_start long, n long, words binary").dropDuplicates(["ref_row", "ref_start", "n"])
     passages = written(passages, "passages")
     pairs = found.join(passages, ["ref_row", "ref_start", "n"]).groupBy("row").agg(F.collect_list(F.struct("start", "n", "words")).alias("found"))
     pairs = written(pairs, "found")
-    size = pairs.agg(F.coalesce(F.sum(F.expr("aggregate(found, 0L, (a, x) -> a + length(x.words) + 64)")), F.lit(0))).first()[0]
-    joined = named.join(F.broadcast(pairs) if size <= broadcast_bytes else pairs, "row", "left")
+    joined = stored.join(pairs.hint("shuffle_hash"), "row", "left")
+    others = named.where(~holds_window).withColumn("found", F.lit(None).cast(pairs.schema["found"].dataType))
     types = dict(named.dtypes)
     names = ["doc_id", *also]
 
@@ -235,11 +238,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 out[1].append(int(gone.sum()))
                 out[2].append(hashlib.sha256(kept).hexdigest())
                 if texts:
-                    out[3].append(kept.decode())
+                    out[3].append(text if as_is and not gone.any() else kept.decode())
             columns = [*(batch.column(c) for c in names), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())]
             if texts:
                 columns.append(pa.array(out[3], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, [*names, "n_words", "n_removed", "kept_sha256", *["kept"] * texts])
 
     schema = ", ".join(f"`{c}` {types[c]}" for c in names) + ", n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
-    return joined.select(*names, "text", "found").mapInArrow(strip, schema)
+    both = [part.select(*names, "text", "found").mapInArrow(strip, schema) for part in (joined, others)]
+    return both[0].unionByName(both[1])

@@ -183,8 +183,8 @@ def repeats(rng, n):
 def test_repeats_against_all_windows(spark):
     rows = repeats(random.Random(6), 120)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for limit in (48 << 20, 0):
-        got = remove_repeats(df, broadcast_bytes=limit)
+    for windows in (2_000_000, 1000):
+        got = remove_repeats(df, bucket_windows=windows)
         assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()) == cut_all(rows)
     for r in remove_repeats(df).collect():
         assert hashlib.sha256(r["kept"].encode()).hexdigest() == r["kept_sha256"]
@@ -199,6 +199,23 @@ def test_repeats_awkward(spark):
     assert dict(remove_repeats(df, also=("row", "kept_x")).dtypes)["row"] == "string" if "kept_x" in df.columns else True
 
 
+def test_texts_are_shuffled_once(spark, capsys):
+    """Joins on the written buckets move only the spans; texts without a window are in no join; untouched texts stay as they are."""
+    rows = repeats(random.Random(9), 60) + [(500, None), (501, ""), (502, "  a \n b ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = remove_repeats(df, bucket_windows=1000, as_is=True)
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "SelectedBucketsCount" in plan or "Bucketed: true" in plan
+    assert not any("text" in line for line in plan.splitlines() if "Exchange" in line)
+    assert plan.count("Exchange") == 1
+    kept = {(r["doc_id"], r["n_words"]): r["kept"] for r in out.collect() if r["n_removed"] == 0}
+    for doc, text in rows:
+        n = len((text or "").split())
+        if (doc, n) in kept:
+            assert kept[doc, n] == text
+
+
 def test_hot_passage_is_removed_everywhere_but_once(spark):
     passage = " ".join(f"h{i}" for i in range(60))
     df = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.md5(F.col("id").cast("string")), F.lit(passage), F.sha1(F.col("id").cast("string"))).alias("text"))
