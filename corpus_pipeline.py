@@ -61,10 +61,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of 50 words that an earlier document holds; texts that lose nothing stay as they are."""
-    rows = docs.select("doc_id", "text", F.struct("*").alias("_row"))
-    cut = remove_repeats(rows, also=("_row",))
-    changed = F.col("n_removed") > 0
-    new = {"text": F.when(changed, F.col("kept")).otherwise(F.col("_row.text")), "n_chars": F.when(changed, F.length("kept").cast("long")).otherwise(F.col("_row.n_chars"))}
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_row")
+    cut = remove_repeats(docs.select("doc_id", "text", rest), also=("_row",), as_is=True)
+    n_chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("_row.n_chars"))
+    new = {"text": F.col("kept"), "n_chars": n_chars}
     return cut.select(*[(new[c] if c in new else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
