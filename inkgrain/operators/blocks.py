@@ -151,7 +151,7 @@ class MeanVectorEmbedder(Estimator, _Block, DefaultParamsReadable, DefaultParams
     """Mean of pretrained word vectors. Fitting reads the vector table, not the texts."""
 
     vectorsPath = Param(Params._dummy(), "vectorsPath", "word vectors", TypeConverters.toString)
-    vectorsFormat = Param(Params._dummy(), "vectorsFormat", "'parquet' or 'text'", TypeConverters.toString)
+    vectorsFormat = Param(Params._dummy(), "vectorsFormat", "'parquet', 'text' or 'word2vec' (binary)", TypeConverters.toString)
 
     def __init__(self, **params):
         super().__init__()

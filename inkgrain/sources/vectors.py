@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkgrain.sources.wordbin import read_word2vec
+
 
 def parse_vector_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """``word v1 ... vd`` per line.
@@ -27,4 +29,6 @@ def read_vectors(spark: SparkSession, path: str, format: str = "parquet") -> Dat
         return spark.read.parquet(path).select("word", F.col("vector").cast("array<float>").alias("vector"))
     if format == "text":
         return parse_vector_lines(spark.read.text(path))
-    raise ValueError(f"unknown vector format {format!r}: use 'parquet' or 'text'")
+    if format == "word2vec":
+        return read_word2vec(spark, path)
+    raise ValueError(f"unknown vector format {format!r}: use 'parquet', 'text' or 'word2vec'")

@@ -16,6 +16,7 @@ from inkgrain.plans.search import best_trial
 from inkgrain.sources import csv
 from inkgrain.sources.tables import read_table
 from inkgrain.sources.vectors import read_vectors
+from inkgrain.sources.wordbin import write_word2vec
 from suite import fixtures as fx
 from suite.registry import query
 
@@ -60,6 +61,17 @@ def vector_table_parse(spark, sf):
     return long.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
+@query("vector_binary_parse", """
+SELECT 'w' || vec_id AS word, CAST(unnest(range(len(embedding))) AS INTEGER) AS dim,
+  round(CAST(unnest(embedding) AS DOUBLE), 6) AS value FROM embeddings""")
+def vector_binary_parse(spark, sf):
+    """Binary word2vec files, written and read back by their parts."""
+    path = new_path(spark, "vectors")
+    write_word2vec(read_table(spark, sf, "embeddings").select(F.concat(F.lit("w"), "vec_id").alias("word"), F.col("embedding").alias("vector")), path, files=3)
+    long = read_vectors(spark, path, "word2vec").select("word", F.posexplode("vector").alias("dim", "value"))
+    return long.withColumn("value", F.round(F.col("value").cast("double"), 6))
+
+
 @query("prediction_sink", f"""
 WITH {fx.UNLABELLED} SELECT doc_id AS id, {fx.RULE_EXPR} AS label FROM unlabelled""")
 def prediction_sink(spark, sf):
