@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from inkgrain.functions import text as tx
 from inkgrain.functions import tokens as tk
 from inkgrain.functions.scalar import FEATURE_NAMES, GROUPS, MARKER_COLUMNS, MARKERS, with_scalar_features
-from inkgrain.operators.terms import CharTerms, term_counts
+from inkgrain.operators.terms import CharTerms, total_frequency
 from suite import fixtures as fx
 from suite.registry import query
 
@@ -142,5 +142,4 @@ def word_ngrams(spark, sf):
 WITH {fx.char_counts('documents')}
 SELECT term, CAST(sum(tf) AS BIGINT) AS n, count(*) AS docs FROM counts GROUP BY term""")
 def char_ngrams(spark, sf):
-    counts = term_counts(fx.texts(spark, sf), "doc_id", "text", CharTerms()).where("term IS NOT NULL")
-    return counts.groupBy("term").agg(F.sum("tf").alias("n"), F.count("*").alias("docs"))
+    return total_frequency(fx.texts(spark, sf), "doc_id", "text", CharTerms())
