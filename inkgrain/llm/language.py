@@ -26,6 +26,8 @@ CACHE_WORDS = 150_000
 #: Characters that the pattern's \w has beside letters and decimal digits, such as fractions and Roman numerals.
 NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
 LETTERS = re.compile(rf"[^\W\d_{NUMBERS}]+")
+#: The same with those characters, a much smaller class; few words need the other pattern.
+SIGNS = re.compile(r"[^\W\d_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -40,8 +42,12 @@ def public_pieces(path: str) -> list[str]:
 
 def words_of(text: str | None) -> list[str]:
     out = []
-    for w in LETTERS.findall(text.lower()) if text else ():
-        out += [w] if len(w) <= LONGEST_RUN else [w[i : i + LONGEST_RUN] for i in range(0, len(w), LONGEST_RUN)]
+    for run in SIGNS.findall(text.lower()) if text else ():
+        for w in (run,) if run.isalpha() else LETTERS.findall(run):
+            if len(w) <= LONGEST_RUN:
+                out.append(w)
+            else:
+                out += [w[i : i + LONGEST_RUN] for i in range(0, len(w), LONGEST_RUN)]
     return out
 
 
@@ -79,7 +85,7 @@ class Pieces:
 
     def find(self, h: np.ndarray) -> np.ndarray:
         out = self.tables[0][self.slot(h, 0)]
-        bad = self.hashes[out] != h
+        bad = (self.hashes[out] != h) & (out != self.none)  # a piece is in a later table only if its slot here is taken
         out[bad] = self.none
         for k in range(1, self.depth):
             at = np.nonzero(bad)
@@ -88,7 +94,7 @@ class Pieces:
             other = self.tables[k][self.slot(h[at], k)]
             right = self.hashes[other] == h[at]
             out[at] = np.where(right, other, out[at])
-            bad[at] = ~right
+            bad[at] = ~right & (other != self.none)
         return out
 
     def spans(self, words: list[str]) -> dict[int, np.ndarray]:
@@ -117,7 +123,12 @@ class Pieces:
         for j in range(1, n + 1):
             a = np.zeros((u, g))
             for size in range(1, min(LONGEST_PIECE, j) + 1):
-                a += alpha[j - size] * p[spans[size][:, j - size]] * (1 if letter is None else letter**size)
+                ids = spans[size][:, j - size]
+                at = np.flatnonzero(ids != self.none)  # few of the longer spans are pieces
+                if 2 * len(at) > u:
+                    a += alpha[j - size] * p[ids] * (1 if letter is None else letter**size)
+                elif len(at):
+                    a[at] += alpha[j - size][at] * p[ids[at]] * (1 if letter is None else letter[at] ** size)
             alpha.append(a)
             if letter is None and j % 16 == 0:
                 s = np.maximum(a, 1e-280)
