@@ -130,12 +130,13 @@ SELECT term, count(*) AS n, count(DISTINCT doc_id) AS docs FROM grams GROUP BY t
 def word_ngrams(spark, sf):
     words = tk.drop_stop_words(tk.word_tokens(F.col("text")), tk.ENGLISH_STOP_WORDS)
     df = fx.texts(spark, sf).select("doc_id", words.alias("w"))
-    grams = df.select("doc_id", tk.word_ngrams(F.col("w"), 1, 2).alias("g"))
-    # ``explode_outer``: Spark guards a plain explode of a column by a filter on its size,
+    grams = df.select(F.sort_array(tk.word_ngrams(F.col("w"), 1, 2)).alias("g"))
+    # Equal n-grams of a text are neighbours, and the first of them stands for the text: one pass and one shuffle give both counts.
+    # ``inline_outer``: Spark guards a plain explode of a column by a filter on its size,
     # which would bring the whole expression of ``g`` into every step of its own lambda.
-    total = grams.select(F.explode_outer("g").alias("term")).where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("n"))
-    docs = grams.select(F.explode(F.array_distinct("g")).alias("term")).groupBy("term").agg(F.count("*").alias("docs"))
-    return total.join(docs, "term")
+    first = lambda x, i: F.struct(x.alias("term"), F.when(x.eqNullSafe(F.get("g", i - 1)), 0).otherwise(1).alias("first"))
+    found = grams.select(F.inline_outer(F.transform("g", first))).where("term IS NOT NULL")
+    return found.groupBy("term").agg(F.count("*").alias("n"), F.sum("first").alias("docs"))
 
 
 @query("char_ngrams", f"""
