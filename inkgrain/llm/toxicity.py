@@ -140,6 +140,7 @@ def fit_machine(terms: list[int], rows: list, labels: np.ndarray, rank: int = RA
         return Machine(place, start, w, v * 0)
     cuts = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
     flat = np.concatenate([np.asarray(r, dtype=np.int32) for r in rows])
+    del rows  # a caller that hands them over keeps no second copy in the driver
     everything = np.arange(len(labels))
     seen, said = sums(n, flat, cuts, everything, labels)
     seen = np.maximum(seen, 1)
@@ -258,8 +259,12 @@ def train_toxicity(
         place[np.frombuffer(r, dtype="<i4")] = 0
     terms = np.flatnonzero(place == 0)
     place[terms] = np.arange(len(terms))
-    rows = [place[np.frombuffer(rows[i], dtype="<i4")] for i in order]
-    return fit_machine(terms.tolist(), rows, np.array([y[i] for i in order], dtype=float))
+    terms, labels = terms.tolist(), np.array([y[i] for i in order], dtype=float)
+    held = [place[np.frombuffer(rows[i], dtype="<i4")] for i in order]
+    del rows, y, order, place
+    handed = [held]
+    del held
+    return fit_machine(terms, handed.pop(), labels)
 
 
 def score_toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
