@@ -13,6 +13,7 @@ from inkgrain.plans.factory import build_pipeline, char_block, word_block
 from inkgrain.plans.job import Config, run
 from inkgrain.plans.pseudo import pseudo_label_round
 from inkgrain.operators import classifiers
+from inkgrain.operators.lookup import LookupLimits
 from inkgrain.plans import registry
 from inkgrain.plans.registry import make_classifier
 from inkgrain.plans.search import FEATURE_SPACE, SPACES, draw, search
@@ -158,6 +159,57 @@ def test_text_is_shuffled_once_for_all_blocks(texts, vectors):
     assert all("RoundRobin" not in line for line in plan.splitlines()) and shuffles
 
 
+def test_blocks_are_columns_beside_the_text(spark, texts, vectors):
+    model = build_pipeline(vectors=vectors, word_params={"k_per_label": 4}, char_params={"k_per_label": 4}, **FOREST).getStages()[0].fit(texts)
+    odd = spark.createDataFrame([(200, None, None), (201, "", 3), (202, "rain Rain bread \u00e9t\u00e9 \u4e2d\u6587", 7)], texts.schema)
+    rows = write_table(texts.unionByName(odd), "odd")
+    plan = model.array(rows, "f")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1 and plan.count("ArrowEvalPython") == 1
+    by_key = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    assert by_key(model.array(rows, "f")) == by_key(model._joined(rows, "f"))
+    # ids that repeat or are null share the features of an id, or have none, as a join gives them
+    for more in (rows.where("id < 3"), rows.where("id = 4").withColumn("id", F.lit(None).cast("long"))):
+        mixed = write_table(rows.unionByName(more), "mixed")
+        assert by_key(model.array(mixed, "f")) == by_key(model._joined(mixed, "f"))
+
+
+def test_a_block_too_large_for_a_task_is_joined(texts, vectors):
+    model = build_pipeline(vectors=vectors, word_params={"k_per_label": 4}, char_params={"k_per_label": 4}, **FOREST).getStages()[0].fit(texts)
+    want = {r["id"]: r["f"] for r in model.array(texts, "f").collect()}
+    for block in model.blocks[:2]:
+        block.limits = LookupLimits(broadcast_bytes=0)
+    assert [b.beside(F.col("TEXT")) is None for b in model.blocks] == [True, True, False]
+    got = {r["id"]: r["f"] for r in model.array(texts, "f").collect()}
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
+
+
+def test_job_reads_its_training_files_once(spark, texts, monkeypatch):
+    train, out = (new_path(spark, n) for n in ("train", "out"))
+    csv.write_texts(texts.drop("id"), train)
+    seen, read = spark.sparkContext.accumulator(0), csv.read_labelled
+
+    def counted(*args, **how):
+        def run(batches):
+            for batch in batches:
+                seen.add(len(batch))
+                yield batch
+
+        rows = read(*args, **how)
+        return rows.mapInArrow(run, rows.schema)
+
+    class Enough(Exception):
+        pass
+
+    def stop(*args, **how):
+        raise Enough
+
+    monkeypatch.setattr(csv, "read_labelled", counted)
+    monkeypatch.setattr(csv, "has_column", stop)
+    with pytest.raises(Enough):
+        run(spark, Config(train_path=train, test_path=train, out_path=out))
+    assert seen.value == 150
+
+
 def test_repeated_ids_are_refused(texts):
     with pytest.raises(ValueError, match="repeated"):
         build_pipeline(**FOREST).fit(texts.unionByName(texts.limit(1)))
