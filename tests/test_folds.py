@@ -62,3 +62,21 @@ def test_tables_of_a_cross_validation_do_not_grow_with_folds(spark, monkeypatch)
     scores = ev.cross_validate(folds, ["one"], "text", "label", "id", 3, settings)
     assert {r["fold"]: r["score"] for r in scores.collect()} == {0: 1.0, 1: 1.0, 2: 1.0}
     assert sorted(n for n in names if n != "fold") == sorted(["blocks"] + ["counted", "frequencies", "sums", "vocabulary"] * 2)
+
+
+def test_a_second_fit_computes_no_unfitted_features_again(spark, monkeypatch):
+    from inkgrain.operators import union
+    from inkgrain.plans.factory import build_pipeline
+    from inkgrain.plans.pseudo import pseudo_label_round
+
+    texts = [(i, ("rain wind cloud" if i % 2 else "bread milk cheese") + f" word{i % 5}", i % 2) for i in range(60)]
+    texts = write_table(spark.createDataFrame(texts, "id long, text string, label int"), "texts")
+    seen, real = [], union.with_scalar_features
+    monkeypatch.setattr(union, "with_scalar_features", lambda *a: seen.append(1) or real(*a))
+    make = lambda: build_pipeline("text", "label", "id", model="random_forest", model_params={"n_estimators": 3, "max_depth": 3})
+    given, fresh = texts.where("id % 3 > 0"), texts.where("id % 3 = 0")
+    predictions, summary = pseudo_label_round(given, fresh.drop("label"), make, "text", "label", "id", 0.6)
+    assert {r["id"]: r["label"] for r in predictions.collect()} == {r["id"]: r["label"] for r in fresh.collect()}
+    assert summary.first()["pseudo_rows"] == 20 and len(seen) == 2
+    with pytest.raises(ValueError, match="repeated"):
+        pseudo_label_round(given, fresh.unionByName(fresh).drop("label"), make, "text", "label", "id", 0.6)
